@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from aerolake.plans import preparation
+from aerolake.plans import preparation, reference, reference_rows
 
-QUERIES = {**preparation.QUERIES}
-SQL = {**preparation.SQL}
-FLAGSHIP = "p4_found"
+assert reference_rows  # registers its queries in reference.QUERIES
+FLAGSHIP = "A01_level2_hourly"
+QUERIES = {**preparation.QUERIES, **reference.QUERIES}
+SQL = {**preparation.SQL, **reference.SQL}
