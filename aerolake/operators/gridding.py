@@ -16,7 +16,7 @@ from aerolake.operators.units import harmonize
 
 WINDOW = 24  # lags of the embedding
 RANK = 4  # singular vectors kept
-ROUNDS = 15  # at most; the change under TOLERANCE of the scatter ends earlier
+ROUNDS = 30  # at most; the change under TOLERANCE of the scatter ends earlier
 TOLERANCE = 1e-3
 SLOTS = 4096  # slots of a chunk
 LEAST = 48  # known slots a chunk needs for imputation
