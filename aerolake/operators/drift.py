@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerolake.functions.frames import typed_frame
 from aerolake.operators.chunks import chunked
 
 CHUNK, LOOK_BACK = 2_000, 64
@@ -151,6 +152,9 @@ def compare(before: dict[str, dict | None], now: dict[str, dict | None]) -> tupl
     return changes, state
 
 
+CHANGES = "device string, file_id long, change string, column_name string, was string"
+
+
 def schema_changes(files: DataFrame) -> DataFrame:
     """Every change of a file's columns against the device's file before it: ``device, file_id, change, column_name, was``.
 
@@ -178,9 +182,9 @@ def schema_changes(files: DataFrame) -> DataFrame:
             changes, state = compare(state, now)
             if core:
                 out += [(device, file_id, *c) for c in changes]
-        return pd.DataFrame(out, columns=["device", "file_id", "change", "column_name", "was"])
+        return typed_frame(out, CHANGES)
 
-    return profiles.groupBy("device", "chunk").applyInPandas(fold, "device string, file_id long, change string, column_name string, was string")
+    return profiles.groupBy("device", "chunk").applyInPandas(fold, CHANGES)
 
 
 def quantity_names(changes: DataFrame) -> DataFrame:

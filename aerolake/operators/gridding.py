@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aerolake.functions.frames import typed_frame
 from aerolake.operators.units import harmonize
 
 WINDOW = 24  # lags of the embedding
@@ -85,7 +86,7 @@ def regularize(readings: DataFrame, devices: DataFrame) -> DataFrame:
 
     def fill(key: tuple, span: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         if not len(span):
-            return pd.DataFrame({c.split()[0]: [] for c in GRID.split(", ")})
+            return typed_frame([], GRID)
         s = span.iloc[0]
         low, high = max(int(s["first"]), int(s["piece"]) * SLOTS), min(int(s["last"]), (int(s["piece"]) + 1) * SLOTS - 1)
         x, n = np.full(high - low + 1, np.nan), np.zeros(high - low + 1, np.int64)

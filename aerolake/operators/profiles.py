@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolake.functions.frames import typed_frame
 from aerolake.functions.numeric import linear_table
 from aerolake.operators.windows import interpolate, ordered, up_to_here
 
@@ -60,18 +61,19 @@ def curve_fit(t: np.ndarray, y: np.ndarray, degree: int = 2, harmonics: int = 4,
 def fit_series(df: DataFrame, keys: Sequence[str], time: str, value: str, degree: int = 2, harmonics: int = 4) -> DataFrame:
     """The curve fit per series; ``time`` in decimal years. A series with fewer values than parameters has no rows."""
     columns = ("time", "function", "smooth", "trend", "seasonal", "growth")
+    ddl = _kinds(df, keys) + "".join(f", {c} double" for c in columns)
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         d = pdf[[time, value]].dropna().sort_values([time, value])
         names = [*keys, *columns]
         if len(d) <= degree + 1 + 2 * harmonics:
-            return pd.DataFrame({n: [] for n in names})
+            return typed_frame([], ddl)
         out = pd.DataFrame(curve_fit(d[time].to_numpy(float), d[value].to_numpy(float), degree, harmonics))
         for k, v in zip(keys, key, strict=True):
-            out[k] = v
+            out[k] = np.full(len(out), v, object)
         return out[names]
 
-    return df.groupBy(*keys).applyInPandas(run, _kinds(df, keys) + "".join(f", {c} double" for c in columns))
+    return df.groupBy(*keys).applyInPandas(run, ddl)
 
 
 def seasonal_extremes(fitted: DataFrame, keys: Sequence[str]) -> DataFrame:
