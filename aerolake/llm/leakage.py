@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
+from aerolake.functions.frames import typed_frame
+
 WORD = re.compile(r"[^\W_]+")
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier of the rolling hash
 SENT_WORDS = 2_000_000  # words of test items that are sent to the workers; beyond it the seeds are joined by a shuffle
@@ -158,7 +160,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, least: int = 13, sent_wor
     total = tests.agg(F.sum(F.size(F.split("passage", r"[^\p{L}\p{N}]+"))).alias("n")).first()["n"] or 0
 
     def tiled(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame([r for r in rows if r[2] >= least], columns=[c.split()[0] for c in PAIRS.split(", ")])
+        return typed_frame([r for r in rows if r[2] >= least], PAIRS)
 
     if total <= sent_words:
         held = [(r["item_id"], w) for r in tests.toLocalIterator() if len(w := words(r["passage"])) >= least]
@@ -174,7 +176,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, least: int = 13, sent_wor
                     at, item = seeds.hits(h)
                     for d, i in sorted(set(zip(owner[at].tolist(), item.tolist(), strict=True))):
                         rows.append(_tile_pair(ids[a + d], split[d], i, seeds.words[i], least))
-                yield pa.RecordBatch.from_pandas(tiled(rows).astype({"doc_id": "int64", "item_id": "int64", "longest": "int32", "n_tiles": "int32", "coverage": "float64"}), preserve_index=False)
+                yield pa.RecordBatch.from_pandas(tiled(rows), preserve_index=False)
 
         return docs.mapInArrow(scan, PAIRS)
 
