@@ -59,8 +59,44 @@ def p7_series(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_harvest, p3_found, p3_loaded, p4_found, p4_common, p5_found, p6_found, p6_table, p6_failed_casts, p7_found, p7_series)}
 
-#: Missing slots in SQL: the same rows by generate_series and an anti-join.
+#: The same rows in SQL, where it expresses the operator: record keys from text, line rules by patterns, slots by an anti-join.
 SQL = {
+    "p1_found": r"""
+        WITH f AS (SELECT fragment_id, device, string_split_regex(content, '\r?\n') AS l FROM level1_fragments WHERE content IS NOT NULL),
+        r AS (SELECT fragment_id, device, list_transform(string_split(l[1], ','), lambda x: lower(trim(x))) AS names, unnest(l[2:]) AS line FROM f),
+        v AS (SELECT fragment_id, device, names, string_split(line, ',') AS v FROM r WHERE trim(line) <> ''),
+        k AS (
+            SELECT fragment_id, device, epoch_us(CAST(v[list_position(names, 'dtm')] AS TIMESTAMPTZ)) AS us,
+                   list_sort(list_filter(list_transform(range(1, len(names) + 1), lambda i: CASE WHEN names[i] <> 'dtm' AND trim(v[i]) <> '' THEN names[i] || '=' || CAST(CAST(v[i] AS DOUBLE) + 0 AS VARCHAR) END), lambda x: x IS NOT NULL)) AS cells
+            FROM v),
+        firsts AS (SELECT DISTINCT min(fragment_id) AS fragment_id FROM k GROUP BY device, us, cells)
+        SELECT fragment_id FROM level1_fragments ANTI JOIN firsts USING (fragment_id)
+    """,
+    "p3_found": r"""
+        WITH base AS (SELECT *, lower(regexp_extract(line, '^\s*"?([^\s,]*)', 1)) AS first FROM thermo_lines WHERE line IS NOT NULL),
+        heads AS (SELECT file_name, arg_min(lower(line), line_no) AS h FROM base WHERE first IN ('dtm', 'pcdate') GROUP BY 1),
+        data AS (
+            SELECT line_id, line, contains(h, ',') AS comma, CASE WHEN contains(h, ',') THEN string_split(h, ',') ELSE string_split_regex(trim(h), '\s+') END AS names,
+                   regexp_replace(line, '"([^"]|"")*"', 'Q', 'g') AS plain
+            FROM base LEFT JOIN heads USING (file_name)
+            WHERE trim(line) <> '' AND NOT starts_with(line, '#') AND first NOT IN ('dtm', 'pcdate')),
+        cells AS (
+            SELECT *, CASE WHEN comma THEN string_split(plain, ',') ELSE string_split_regex(trim(plain), '\s+') END AS v,
+                   len(string_split(regexp_replace(plain, '[,\s]+$', ''), ',')) AS filled,
+                   CASE WHEN comma THEN regexp_full_match(line, '("([^"]|"")*"|[^",]*)(,("([^"]|"")*"|[^",]*))*') ELSE NOT contains(line, '"') END AS quoted
+            FROM data),
+        typed AS (
+            SELECT *, trim(CASE WHEN comma THEN v[list_position(names, 'dtm')] ELSE v[1] || ' ' || v[2] END) AS t, trim(v[list_position(names, 'o3')]) AS o3 FROM cells),
+        judged AS (
+            SELECT line_id, CASE
+                WHEN NOT quoted THEN 'quoting'
+                WHEN names IS NULL OR len(v) < len(names) OR (CASE WHEN comma THEN filled ELSE len(v) END) > len(names) THEN 'column_count'
+                WHEN NOT (coalesce(regexp_full_match(t, '[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}(T| +)[0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?Z?') AND TRY_CAST(replace(replace(t, '/', '-'), 'Z', '') AS TIMESTAMP) IS NOT NULL, false)
+                       OR coalesce(try_strptime(t, ['%m/%d/%Y %H:%M:%S', '%m/%d/%Y %I:%M:%S %p', '%m/%d/%Y %H:%M']) IS NOT NULL, false)) THEN 'bad_dtm'
+                WHEN NOT coalesce(regexp_full_match(o3, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?'), false) THEN 'bad_o3' END AS reason
+            FROM typed)
+        SELECT line_id, reason FROM judged WHERE reason IS NOT NULL
+    """,
     "p7_found": """
         WITH usable AS (
             SELECT inst_sn AS device, epoch_us(dtm) AS us FROM ae33 WHERE bc6 IS NOT NULL AND dtm IS NOT NULL

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from aerolake.plans import preparation, reference, reference_rows
+from aerolake.plans import preparation, reference, reference_more, reference_rows
 
-assert reference_rows  # registers its queries in reference.QUERIES
+assert reference_rows and reference_more  # they register their queries in reference.QUERIES
 FLAGSHIP = "A01_level2_hourly"
 QUERIES = {**preparation.QUERIES, **reference.QUERIES}
 SQL = {**preparation.SQL, **reference.SQL}
