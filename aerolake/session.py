@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _SCRATCH: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -62,8 +65,34 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package: a zip of its sources in the shared folder, added to their path once per application.
+
+    So functions that run in Python workers can be imported there wherever the driver was started.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    target = f"{shared_dir(spark)}/aerolake-code/{uuid.uuid4().hex}/aerolake.zip"
+    fs, path = filesystem(spark, target)
+    out = fs.create(path)
+    out.write(data.getvalue())
+    out.close()
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """One of the driver's tables; zone-less timestamps are taken as UTC."""
+    ship_package(spark)
     df = spark.read.parquet(os.path.join(directory, f"{name}.parquet"))
     naive = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
     return df.withColumns({c: df[c].cast("timestamp") for c in naive}) if naive else df
