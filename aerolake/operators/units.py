@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aerolake.session import materialize
+
 # --- fixed values: base dimensions (mass, length, time, temperature, amount), units and prefixes -----------------------
 DIMENSIONS = ("mass", "length", "time", "temperature", "amount")
 #: symbol -> (exponents, scale to SI, offset to SI)
@@ -203,7 +205,7 @@ def harmonize(readings: DataFrame, quantities: tuple[Quantity, ...] = PARTICLE_Q
     a row with null values), nor does a row of an unknown instrument without a number in
     any of the columns; repeated rows are converted each; null sources form one source; an empty table gives an empty one.
 
-    Scale: texts are parsed once per distinct spelling and batch (Arrow); one aggregation to a median per source with
+    Scale: texts are parsed once, by distinct spelling (Arrow), into a table in the shared folder; one aggregation to a median per source with
     map-side sketches; the medians (a row per source) are joined back, which AQE broadcasts only while they are small.
     """
     by_name = {q.column: q for q in quantities}
@@ -235,6 +237,7 @@ def harmonize(readings: DataFrame, quantities: tuple[Quantity, ...] = PARTICLE_Q
     parsed = src.mapInPandas(parse, time + "reading_id long, source string, quantity string, raw_value double, unit_code string, unit_from string, scale double")
     if not keep_unreadable:
         parsed = parsed.filter(F.col("raw_value").isNotNull() & ~F.isnan("raw_value"))
+    parsed = materialize(parsed, "units")  # parsed once, though read for the medians and for the result
     level = F.log10(F.abs(F.col("raw_value") * F.col("scale")))
     stated = parsed.filter(F.col("scale").isNotNull() & (F.col("raw_value") != 0) & ~F.isnan("raw_value"))
     own = stated.groupBy("source", "quantity").agg(F.percentile_approx(level, 0.5, 10_000).alias("own_level"))
