@@ -42,12 +42,12 @@ CLOSERS = "\"'”’»)]}"
 _MARK = re.compile(r"\s*(?:" + "|".join(re.escape(m) for m in MARKS) + r")\s*$")
 _LOG = re.compile(r"^\s*\[?\d{4}-\d\d-\d\d[ T]\d\d:\d\d(:\d\d)?[^\]]*\]\s*[A-Z]{3,}\b")
 _ASSIGN = re.compile(r"^\s*[\w.\[\]]+ ?(?:=|:=) ?\S")
-_SIGNED = re.compile(r"(?:^|\s)--? ?\S.{0,40}$")
 _BY = re.compile(r"^(?:filed|signed|logged|written|sent|noted|entered|checked|reported) by \S", re.I)
 _LABEL = re.compile(r"^[^\W\d_]+(?: [^\W\d_]+){0,2}: \d{1,2}:\d{2}(?::\d{2})?$")
+_SIGNED = re.compile(r"[.!?…]\s+--? ?\S.{0,40}$")
 _DIGITS = re.compile(r"\d+")
-_STOPPED = re.compile(r"(\S+ \S+) \d[\d.,:]*\.$")
-_NUMBERS = re.compile(r"(\S+ \S+) \d[\d.,:]*")
+_NUMBERS = re.compile(r" \d[\d.,:]*")
+_CONTEXT = 80  # characters before a number in which its two words are looked for
 
 
 def shape(line: str) -> str:
@@ -72,7 +72,9 @@ def ending(text: str | None) -> str:
     s = (text or "").rstrip()
     if not s:
         return "empty"
-    lines = s.split("\n")
+    if s[-1] in TERMINAL and s[-2:-1].isalpha():  # whole whatever the line is; most texts
+        return "terminal"
+    lines = s.rsplit("\n", 8)
     last = lines[-1].strip("\r")
     if _is_row(last):
         return "row"
@@ -81,7 +83,7 @@ def ending(text: str | None) -> str:
     before = next((x.strip().rstrip(",").lower() for x in reversed(lines[:-1]) if x.strip()), "")
     if before in FORMULAS and len(last.split()) <= 6 or last.strip().rstrip(",").lower() in FORMULAS:
         return "signed"
-    if last.lstrip().startswith("--") or re.search(r"[.!?…]\s+--? ?\S.{0,40}$", last) or _BY.match(last) or _LABEL.match(last):
+    if last.lstrip().startswith("--") or _SIGNED.search(last[-120:]) or _BY.match(last) or _LABEL.match(last):
         return "signed"
     m = _MARK.search(s)
     if m:
@@ -102,6 +104,19 @@ def _last_line(text: str | None) -> str | None:
     return line if len(line) <= LINE else None
 
 
+def two_before(text: str, at: int) -> str | None:
+    """The two words before a place, in lower case."""
+    words = text[max(0, at - _CONTEXT) : at].split()
+    return " ".join(words[-2:]).lower() if len(words) > 1 else None
+
+
+def _stopped_context(text: str) -> str | None:
+    """The two words before the number that ends a text with a full stop."""
+    t = text.rstrip().rstrip(CLOSERS)
+    at = t.rfind(" ")
+    return two_before(t, at) if at > 0 and _NUMBERS.fullmatch(t, at) else None
+
+
 def length_hazards(documents: DataFrame) -> DataFrame:
     """Hazard tests of every source, unit (chars, bytes) and length with enough endings.
 
@@ -190,7 +205,7 @@ def judge(documents: DataFrame) -> DataFrame:
     def ends_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             kind = [ending(t) for t in pdf["text"]]
-            stopped = [m[1].lower() if k == "stopped" and (m := _STOPPED.search(t.rstrip().rstrip(CLOSERS)[-200:])) else None for k, t in zip(kind, pdf["text"], strict=True)]
+            stopped = [_stopped_context(t) if k == "stopped" else None for k, t in zip(kind, pdf["text"], strict=True)]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "ending": kind, "line": [_last_line(t) for t in pdf["text"]], "stopped": stopped, "chars": [len(t or "") for t in pdf["text"]], "bytes": [len((t or "").encode()) for t in pdf["text"]]})
 
     ends = materialize(docs.mapInPandas(ends_of, "doc_id long, source string, ending string, line string, stopped string, chars int, bytes int"), "endings")
@@ -199,14 +214,15 @@ def judge(documents: DataFrame) -> DataFrame:
         for pdf in batches:
             stop, on = Counter(), Counter()
             for t in pdf["text"]:
+                end = len(t.rstrip())
                 for m in _NUMBERS.finditer(t):
                     whole = m[0].rstrip(".,:")
-                    after = t[m.start() + len(whole) : m.start() + len(whole) + 2]
-                    if after[:1] == "." and not after[1:].strip():
-                        if m.start() + len(whole) + 1 < len(t.rstrip()):  # a text's own end is no evidence
-                            stop[m[1].lower()] += 1
-                    elif "." in whole[len(m[1]) :]:
-                        on[m[1].lower()] += 1
+                    past = m.start() + len(whole)
+                    if t.startswith(".", past) and not t[past + 1 : past + 2].strip():
+                        if past + 1 < end and (two := two_before(t, m.start())):  # a text's own end is no evidence
+                            stop[two] += 1
+                    elif "." in whole and (two := two_before(t, m.start())):
+                        on[two] += 1
             keys = sorted(stop.keys() | on.keys())
             yield pd.DataFrame({"two": keys, "n_stop": [stop[k] for k in keys], "n_on": [on[k] for k in keys]}, columns=["two", "n_stop", "n_on"]).astype({"n_stop": "int64", "n_on": "int64"})
 
