@@ -40,16 +40,16 @@ def _instant_us(text: Column) -> Column:
 
 
 def parse_fragments(fragments: DataFrame) -> DataFrame:
-    """One row per record line: ``fragment_id, device, instrument, us, stamp, cells``.
+    """One row per record line: ``fragment_id, device, content_hash, us, stamp, cells``.
 
     ``cells`` is the sorted array of (column, value) of all filled columns but dtm: column names in lower case without
     outer blanks, numbers in one spelling, so records written in another style or column order compare equal; an absent
     column is the same as an empty cell. ``stamp`` holds the text of a dtm that is no instant (``us`` is then null).
     """
     lines = F.split(F.regexp_replace("content", "^\ufeff", ""), "\r\n|\n|\r")
-    base = fragments.select(F.col("fragment_id").cast("long"), F.col("device").cast("string"), F.col("instrument").cast("string"), lines.alias("lines")).filter(F.size("lines") > 1)
+    base = fragments.select(F.col("fragment_id").cast("long"), F.col("device").cast("string"), F.xxhash64("content").alias("content_hash"), lines.alias("lines")).filter(F.size("lines") > 1)
     base = base.withColumn("names", F.transform(F.split(F.element_at("lines", 1), ","), lambda x: F.lower(F.trim(x))))
-    rows = base.select("fragment_id", "device", "instrument", "names", F.explode(F.slice("lines", 2, F.size("lines") - 1)).alias("line")).filter(F.trim("line") != "")
+    rows = base.select("fragment_id", "device", "content_hash", "names", F.explode(F.slice("lines", 2, F.size("lines") - 1)).alias("line")).filter(F.trim("line") != "")
     rows = rows.withColumn("parts", F.split("line", ",", -1))
     at = F.array_position("names", "dtm").cast("int")
     stamp = F.when(at > 0, F.trim(F.get("parts", at - 1)))
@@ -60,7 +60,7 @@ def parse_fragments(fragments: DataFrame) -> DataFrame:
 
     cells = F.filter(F.zip_with("names", "parts", lambda n, v: F.struct(n.alias("name"), canonical(v).alias("value"))), lambda c: c["name"].isNotNull() & (c["name"] != "dtm") & c["value"].isNotNull() & (c["value"] != "") & (c["value"] != "NaN"))
     us = _instant_us(stamp)
-    return rows.select("fragment_id", "device", "instrument", us.alias("us"), F.when(us.isNull(), F.coalesce(stamp, F.lit(""))).alias("stamp"), F.array_sort(cells).alias("cells"))
+    return rows.select("fragment_id", "device", "content_hash", us.alias("us"), F.when(us.isNull(), F.coalesce(stamp, F.lit(""))).alias("stamp"), F.array_sort(cells).alias("cells"))
 
 
 def first_fit_decreasing(sizes: np.ndarray, capacity: float) -> np.ndarray:
@@ -80,7 +80,7 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: float) -> np.ndarray:
 
 
 def plan_bins(manifest: DataFrame, target_bytes: int, block_files: int) -> DataFrame:
-    """``fragment_id, bin``: bins by first-fit decreasing within blocks of about ``block_files`` files of one instrument.
+    """``fragment_id, instrument, bin``: bins by first-fit decreasing within blocks of about ``block_files`` files of one instrument.
 
     An instrument with more files than that is split into blocks by a hash, so that no task holds an unbounded list.
     """
@@ -92,9 +92,9 @@ def plan_bins(manifest: DataFrame, target_bytes: int, block_files: int) -> DataF
         pdf = pdf.sort_values("fragment_id")
         b = first_fit_decreasing(pdf["live_bytes"].to_numpy(float), target_bytes)
         name = pdf["instrument"].fillna("none").astype(str) + "-" + pdf["block"].astype(str) + "-" + b.astype(str)
-        return pd.DataFrame({"fragment_id": pdf["fragment_id"], "bin": name})
+        return pd.DataFrame({"fragment_id": pdf["fragment_id"], "instrument": pdf["instrument"], "bin": name})
 
-    return keyed.groupBy("instrument", "block").applyInPandas(pack, "fragment_id long, bin string")
+    return keyed.groupBy("instrument", "block").applyInPandas(pack, "fragment_id long, instrument string, bin string")
 
 
 def compact(fragments: DataFrame, target: str | None = None, target_bytes: int = 128 << 20, block_files: int = 20_000) -> Compacted:
@@ -107,7 +107,7 @@ def compact(fragments: DataFrame, target: str | None = None, target_bytes: int =
     empty manifest. The committed manifest has, per fragment, ``n_records`` and ``n_new`` (records that no fragment of the
     device with a smaller id holds).
 
-    Steps: (1) the manifest (id, path, size, checksum) is frozen as a written table, and only what it lists is read;
+    Steps: (1) the manifest (id, path, size, checksum) is frozen as a written table; what is read must have its checksums;
     (2) bins by first-fit decreasing on the bytes that survive; (3) one file per bin; (4) counts and order-free checksums
     of the written files are held against those of the source; (5) one rename commits data and manifest together, else
     the staging folder is removed and nothing changes.
@@ -124,17 +124,19 @@ def compact(fragments: DataFrame, target: str | None = None, target_bytes: int =
         raise FileExistsError(target)
     size = F.coalesce(F.col("n_bytes").cast("long"), F.octet_length("content").cast("long"), F.lit(0).cast("long"))
     frozen = materialize(fragments.select(F.col("fragment_id").cast("long"), F.col("path").cast("string"), F.col("device").cast("string"), F.col("instrument").cast("string"), size.alias("n_bytes"), F.xxhash64("content").alias("content_hash")), "manifest")
-    source = fragments.select(F.col("fragment_id").cast("long"), "content").join(frozen, "fragment_id", "inner").filter(F.xxhash64("content") == F.col("content_hash"))
-    parsed = materialize(parse_fragments(source), "records")
+    parsed = materialize(parse_fragments(fragments), "records")
 
     key = ["device", "us", "stamp", "cells"]
-    distinct = parsed.groupBy(*key).agg(F.min("fragment_id").alias("fragment_id"), F.min_by("instrument", "fragment_id").alias("instrument"))
+    distinct = parsed.groupBy(*key).agg(F.min("fragment_id").alias("fragment_id"))
     distinct = materialize(distinct, "distinct")
-    n_records = parsed.groupBy("fragment_id").agg(F.count("*").alias("n_records"))
+    n_records = parsed.groupBy("fragment_id").agg(F.count("*").alias("n_records"), F.first("content_hash").alias("read_hash"))
     n_new = distinct.groupBy("fragment_id").agg(F.count("*").alias("n_new"))
     zero = F.lit(0).cast("long")
+    # what was read must be what the manifest froze; a file that came later isn't in a bin and is left out
+    changed = F.col("read_hash").isNotNull() & (F.col("read_hash") != F.col("content_hash"))
+    read = frozen.join(n_records, "fragment_id", "left").withColumn("content_hash", F.when(changed, F.raise_error(F.concat(F.lit("changed since the manifest: "), F.col("path"))).cast("long")).otherwise(F.col("content_hash"))).drop("read_hash")
     manifest = (
-        frozen.join(n_records, "fragment_id", "left").join(n_new, "fragment_id", "left")
+        read.join(n_new, "fragment_id", "left")
         .withColumns({"n_records": F.coalesce("n_records", zero), "n_new": F.coalesce("n_new", zero)})
         .withColumn("live_bytes", F.when(F.col("n_records") > 0, F.col("n_bytes") * F.col("n_new") / F.col("n_records")).otherwise(F.lit(0.0)))
     )
@@ -148,7 +150,7 @@ def compact(fragments: DataFrame, target: str | None = None, target_bytes: int =
     n_tasks = max(1, min(10_000, int(total["bytes"] // target_bytes) + 1))
     try:
         out.repartition(n_tasks, "bin").sortWithinPartitions("bin", "device", "dtm").write.partitionBy("bin").option("compression", "zstd").parquet(f"{staging}/data")
-        manifest.join(bins, "fragment_id", "left").write.parquet(f"{staging}/manifest")
+        manifest.join(bins.drop("instrument"), "fragment_id", "left").write.parquet(f"{staging}/manifest")
         expected = placed.groupBy("bin").agg(F.count("*").alias("n"), F.bit_xor(check).alias("x"))
         seen, n_bins = None, 0
         if total["records"]:
