@@ -425,7 +425,17 @@ def j09(spark, d):
     return joins.nearest_grid_point(g, 37.2, 52.9)
 
 
-@query("J10_over_background")
+_COARSE = """+h AS (SELECT epoch(date_trunc('hour', dtm))::BIGINT AS t, avg(value) AS value FROM obs GROUP BY 1),
+c AS (SELECT epoch(date_trunc('day', dtm))::BIGINT AS t, quantile_cont(value, 0.1) AS b FROM obs GROUP BY 1),
+j AS (SELECT coalesce(h.t, c.t) AS t, value, b, h.t IS NOT NULL AS fine FROM h FULL JOIN c ON h.t = c.t),
+n AS (SELECT *, last_value(b IGNORE NULLS) OVER p AS x0, last_value(CASE WHEN b IS NOT NULL THEN t END IGNORE NULLS) OVER p AS p0,
+             first_value(b IGNORE NULLS) OVER q AS x1, first_value(CASE WHEN b IS NOT NULL THEN t END IGNORE NULLS) OVER q AS p1
+      FROM j WINDOW p AS (ORDER BY t ROWS UNBOUNDED PRECEDING), q AS (ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+i AS (SELECT t, value, coalesce(b, x0 + (x1 - x0) * (t - p0)::DOUBLE / nullif(p1 - p0, 0)) AS background FROM n WHERE fine)
+SELECT t AS start, round(value, 6) AS value, round(background, 6) AS background, round(value - background, 6) AS delta FROM i"""
+
+
+@query("J10_over_background", _COARSE)
 def j10(spark, d):
     rows = obs(spark, d)
     fine = rows.groupBy(F.date_trunc("hour", "dtm").alias("t")).agg(F.avg("value").alias("value"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Window
@@ -12,7 +13,11 @@ from aerolake.functions import numeric
 from aerolake.operators import aggregate, columns, flags, joins, merge, stats, validity, windows
 from aerolake.operators.buckets import bucket
 from aerolake.plans.reference import _GOOD, obs, query, r6, sec
+from aerolake.plans.reference_rows import STEPS
 from aerolake.session import scratch_path, table
+from aerolake.sources import tahmo
+from aerolake.sources.files import read_format
+from aerolake.sources.formats import AE33_COLUMNS, FORMATS, TAHMO_UNITS
 from aerolake.sources.sinks import ebas_columns, merge_into, wdcgg_lines, with_partitions
 
 
@@ -101,7 +106,7 @@ def q02(spark, d):
     return rows.select("event_id", F.coalesce(*[F.col(c) for c in columns.linked_flags("a", groups, rows.columns)]).alias("shown"))
 
 
-@query("Q10_steps_to_flags")
+@query("Q10_steps_to_flags", STEPS.replace("COLUMN", "k").replace("QUANTILE", "0.8") + "SELECT event_id, CASE WHEN state > 0 THEN 4 WHEN state < 0 THEN 3 ELSE 0 END AS flag FROM s")
 def q10(spark, d):
     out = windows.step_events(obs(spark, d), ["event_type"], ["us", "event_id"], "k", 0.8)
     return out.select("event_id", F.when(F.col("state") > 0, 4).when(F.col("state") < 0, 3).otherwise(0).alias("flag"))
@@ -174,3 +179,40 @@ def o01(spark, d):
     kinds = ["click", "view", "error", "purchase", "signup"]
     parts = [aggregate.available_and_valid(obs(spark, d).withColumn("f_value", F.col("f")).filter(F.col("event_type") == k), ["value"]).select(F.lit(k).alias("instrument"), F.col("available").alias("rows"), "available", "valid") for k in kinds]
     return reduce(lambda a, b: a.unionAll(b), parts)
+
+
+# --- raw files: lines are written as text files in the instrument's layout and read back by its parser ------------------------------
+def _read_back(spark, lines, name):
+    """Lines (column ``line``) as text files, read by a format's parser."""
+    folder = scratch_path(spark, f"raw-{name}")
+    lines.select("line").write.text(folder)
+    return read_format(spark, folder, replace(FORMATS[name], accept=r"\.txt$", members=r".*"))[0]
+
+
+@query("R01_ae33_files", "SELECT row_id, inst_sn, epoch_us(dtm) // 1000000 AS t, bc6, bb, flow1 FROM ae33 WHERE dtm IS NOT NULL", with_obs=False)
+def r01(spark, d):
+    own = {"Inst_SN": F.col("inst_sn"), "row_id": F.col("row_id"), "dtm": F.date_format("dtm", "MM/dd/yyyy hh:mm:ss a"), "BC6": F.col("bc6"), "BB": F.col("bb"), "Flow1": F.col("flow1")}
+    rows = table(spark, d, "ae33").filter("dtm is not null")
+    line = F.concat_ws("|", *[F.coalesce(own[c].cast("string"), F.lit("")) if c in own else F.lit("") for c in AE33_COLUMNS])
+    return _read_back(spark, rows.select(line.alias("line")), "ae33").select("row_id", F.col("Inst_SN").alias("inst_sn"), sec("dtm").alias("t"), F.col("BC6").alias("bc6"), F.col("BB").alias("bb"), F.col("Flow1").alias("flow1"))
+
+
+@query("R04_thermo_files", "SELECT epoch_us(dtm) // 1000000 AS t, flags, round(o3, 6) AS o3, cellai, pres FROM thermo WHERE dtm IS NOT NULL", with_obs=False)
+def r04(spark, d):
+    rows = table(spark, d, "thermo").filter("dtm is not null")
+    cells = [F.date_format("dtm", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("a"), F.lit("b"), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("o3", "flags", "hio3", "cellai", "cellbi", "bncht", "lmpt", "o3lt", "flowa", "flowb", "pres")]]
+    return _read_back(spark, rows.select(F.concat_ws(",", *cells).alias("line")), "thermo").select(sec("dtm").alias("t"), "flags", r6("o3").alias("o3"), "cellai", "pres")
+
+
+@query("R10_tahmo_files", "+r AS (SELECT us // 1000000 AS t, CASE event_type WHEN 'click' THEN 'temp' ELSE 'wind' END AS v, value, event_id, f FROM obs WHERE event_type IN ('click', 'error')), b AS (SELECT t // 600 * 600 AS t, v, max(event_id) AS mrid, arg_max(value, event_id) AS value, arg_max(coalesce(f, 0), event_id) AS f FROM r GROUP BY 1, 2) SELECT t, max(mrid) AS mrid, max(value) FILTER (WHERE v = 'temp') AS temp, coalesce(max(f) FILTER (WHERE v = 'wind'), 1)::INTEGER AS f_wind FROM b GROUP BY 1")
+def r10(spark, d):
+    names = {"click": "Air Temperature", "error": "Wind Speed"}
+    rows = obs(spark, d).filter(F.col("event_type").isin(*names))
+    kind = F.when(F.col("event_type") == "click", names["click"]).otherwise(names["error"])
+    unit = F.when(F.col("event_type") == "click", TAHMO_UNITS[names["click"]]).otherwise(TAHMO_UNITS[names["error"]])
+    cells = F.concat_ws(",", kind, F.lit("D1"), (F.floor(F.col("us") / 600_000_000) * 600).cast("string"), F.col("value").cast("string"), F.col("event_id").cast("string"), F.when(F.col("f") == 1, "true").otherwise("false"), unit)
+    folder = scratch_path(spark, "raw-tahmo")
+    rows.select(cells.alias("x")).selectExpr("split(x, ',') a").selectExpr("a[0] measurement", "a[1] device_sn", "a[2] timestamp_utc", "a[3] value", "a[4] mrid", "a[5] error_flag", "a[6] units").write.option("header", True).csv(folder)
+    readings = read_format(spark, folder, FORMATS["tahmo"])[0]
+    out = tahmo.wide(readings, {"Air Temperature": "temp", "Wind Speed": "wind"})
+    return out.select(sec("dtm").alias("t"), "mrid", "temp", F.col("f_wind").cast("int").alias("f_wind"))

@@ -72,7 +72,18 @@ def w10(spark, d):
     return obs(spark, d).select("event_id", r6(windows.rolling_quantile_centred(F.col("value"), by_type(), 101, 0.1)).alias("background"))
 
 
-@query("W11_step_events")
+STEPS = """+m AS (SELECT *, quantile_cont(COLUMN, 0.5) OVER (PARTITION BY event_type ORDER BY us, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS md FROM obs),
+d AS (SELECT *, md - lag(md) OVER (PARTITION BY event_type ORDER BY us, event_id) AS df FROM m),
+a AS (SELECT event_type, abs(df) AS a FROM d WHERE df IS NOT NULL),
+r AS (SELECT event_type, a, row_number() OVER (PARTITION BY event_type ORDER BY a) - 1 AS i, count(*) OVER (PARTITION BY event_type) AS n FROM a),
+q AS (SELECT event_type, max(a) AS q FROM r WHERE i = round(QUANTILE * (n - 1)) GROUP BY 1),
+c AS (SELECT event_type, median(a) AS c FROM a GROUP BY 1),
+mad AS (SELECT event_type, median(abs(a - c)) AS mad FROM a JOIN c USING (event_type) GROUP BY 1),
+e AS (SELECT event_id, event_type, us, CASE WHEN df > greatest(q, 6 * mad, 1e-12) THEN 1 WHEN df < -greatest(q, 6 * mad, 1e-12) THEN -1 ELSE 0 END AS event FROM d JOIN q USING (event_type) JOIN mad USING (event_type)),
+s AS (SELECT event_id, event, coalesce(last_value(nullif(event, 0) IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY us, event_id ROWS UNBOUNDED PRECEDING), 0) AS state FROM e) """
+
+
+@query("W11_step_events", STEPS.replace("COLUMN", "value").replace("QUANTILE", "0.9") + "SELECT event_id, event, state FROM s")
 def w11(spark, d):
     return windows.step_events(obs(spark, d), ["event_type"], ["us", "event_id"], "value", 0.9).select("event_id", "event", "state")
 
@@ -298,7 +309,7 @@ def m05(spark, d):
     return obs(spark, d).select("event_id", F.round(numeric.mass_to_volume(F.col("value") * 1e-9, numeric.M_O3), 8).alias("ppb"))
 
 
-@query("M06_column_ozone")
+@query("M06_column_ozone", "+x AS (SELECT user_id, event_id, value + 1 + event_id / 1e6 AS p, k AS o3 FROM obs), t AS (SELECT *, o3 * 1e-3 / (p * 100) AS r FROM x), d AS (SELECT event_id, user_id, p, (r + lag(r) OVER w) / 2 * (lag(p) OVER w - p) * 100 * (6.02214076e23 / 0.0289652 / 9.80665 / 2.69e20) AS piece FROM t WINDOW w AS (PARTITION BY user_id ORDER BY p DESC)) SELECT event_id, round(coalesce(sum(piece) OVER (PARTITION BY user_id ORDER BY p DESC ROWS UNBOUNDED PRECEDING), 0), 4) AS column_du FROM d")
 def m06(spark, d):
     rows = obs(spark, d).select("user_id", "event_id", (F.col("value") + 1 + F.col("event_id") / 1e6).alias("p"), F.col("k").alias("o3"))
     return profiles.column_ozone(rows, ["user_id"], "p", "o3").select("event_id", F.round("column_du", 4).alias("column_du"))
