@@ -72,6 +72,35 @@ SQL = {
         firsts AS (SELECT DISTINCT min(fragment_id) AS fragment_id FROM k GROUP BY device, us, cells)
         SELECT fragment_id FROM level1_fragments ANTI JOIN firsts USING (fragment_id)
     """,
+    "p4_found": r"""
+        WITH spelled AS (
+            SELECT reading_id, source, instrument,
+                   CASE WHEN NOT isnan(pm25_conc) THEN pm25_conc WHEN NOT isnan(ir880) THEN ir880 WHEN NOT isnan(bc6) THEN bc6 END AS num, value_text,
+                   list_transform([coalesce(unit, ''), coalesce(value_text, ''), coalesce(note, '')], lambda t: replace(replace(replace(replace(replace(replace(replace(replace(replace(
+                       lower(t), 'µ', 'u'), 'μ', 'u'), 'micrograms', 'ug'), 'milligrams', 'mg'), 'nanograms', 'ng'), 'cubic metre', 'm3'), 'litre', 'l'), '³', '3'), '**', '')) AS t,
+                   CASE WHEN NOT isnan(pm25_conc) THEN 'ug/m3' WHEN NOT isnan(ir880) OR NOT isnan(bc6) THEN 'ng/m3' WHEN instrument IN ('avo', 'fidas') THEN 'ug/m3' WHEN instrument IN ('ae31', 'ae33') THEN 'ng/m3' END AS common
+            FROM avo_fidas_ae3x),
+        found AS (
+            SELECT *, regexp_extract(t[1], '(ug|mg|ng)(/|\s*per\s*|\s+)(m|l)', ['mass', 'sep', 'volume']) AS u,
+                   regexp_extract(t[2], '(ug|mg|ng)(/|\s*per\s*|\s+)(m|l)', ['mass', 'sep', 'volume']) AS v,
+                   regexp_extract(t[3], '(?:^|[^0-9\s])\s*(ug|mg|ng)(/|\s*per\s*|\s+)(m|l)[\^]?-?[31]?(?:$|[^a-z])', ['mass', 'sep', 'volume']) AS n
+            FROM spelled),
+        stated AS (
+            SELECT reading_id, source, common, CASE WHEN u.mass <> '' THEN u WHEN v.mass <> '' THEN v WHEN n.mass <> '' THEN n END AS s,
+                   coalesce(num, TRY_CAST(regexp_extract(value_text, '(?:^|[^A-Za-z0-9.])([0-9]+[.]?[0-9]*)', 1) AS DOUBLE)) AS x
+            FROM found),
+        coded AS (SELECT *, CASE WHEN s IS NOT NULL THEN s.mass || CASE s.volume WHEN 'm' THEN '/m3' ELSE '/l' END END AS code FROM stated WHERE x IS NOT NULL AND common IS NOT NULL),
+        scaled AS (
+            SELECT *, CASE code WHEN 'mg/m3' THEN 1e3 WHEN 'ug/l' THEN 1e3 WHEN 'ng/m3' THEN 1e-3 WHEN 'ug/m3' THEN 1 END * CASE common WHEN 'ng/m3' THEN 1e3 ELSE 1 END AS scale FROM coded),
+        levels AS (SELECT source, common, median(log10(abs(x * scale))) AS own FROM scaled WHERE code IS NOT NULL AND x <> 0 GROUP BY 1, 2),
+        every AS (SELECT common, median(own) AS whole FROM levels GROUP BY 1),
+        guessed AS (
+            SELECT reading_id, common, coalesce(code, CASE WHEN x = 0 OR coalesce(own, whole) IS NULL THEN common ELSE list_sort(list_transform(
+                       [('ug/m3', 1.0), ('mg/m3', 1000.0), ('ng/m3', 0.001)],
+                       lambda c: (abs(log10(abs(x)) + log10(c[2] * CASE common WHEN 'ng/m3' THEN 1e3 ELSE 1 END) - coalesce(own, whole)), c[1] <> common, c[1])))[1][3] END) AS unit_code
+            FROM scaled LEFT JOIN levels USING (source, common) LEFT JOIN every USING (common))
+        SELECT reading_id, unit_code FROM guessed WHERE unit_code <> common
+    """,
     "p3_found": r"""
         WITH base AS (SELECT *, lower(regexp_extract(line, '^\s*"?([^\s,]*)', 1)) AS first FROM thermo_lines WHERE line IS NOT NULL),
         heads AS (SELECT file_name, arg_min(lower(line), line_no) AS h FROM base WHERE first IN ('dtm', 'pcdate') GROUP BY 1),
