@@ -111,23 +111,20 @@ def resolve_duplicates(df: DataFrame, order: Sequence[str], time: str = "dtm", k
     """One row per duplicated time: exact groups keep the first, mergeable ones fill its nulls by the only value there is.
 
     A conflict is left alone unless ``base`` picks a row (the first for which it holds), whose values win and whose nulls
-    are filled where the group has one value. Null times are left alone. Only duplicated times go through the window.
+    are filled where the group has one value. Null times are left alone, and stay out of the windows, which share one shuffle.
     """
     w = Window.partitionBy(*keys, time)
-    total = w.orderBy(*order)
-    numbered = df.filter(F.col(time).isNotNull()).withColumn("_n", F.count("*").over(w))
-    single, many = numbered.filter("_n = 1").drop("_n"), numbered.filter("_n > 1")
     others = [(c, k) for c, k in df.dtypes if c != time and c not in keys and c not in order]
-    lo = {c: F.min(_norm(c, k)).over(w) for c, k in others}
-    hi = {c: F.max(_norm(c, k)).over(w) for c, k in others}
-    conflict = reduce(Column.__or__, [F.coalesce(lo[c] != hi[c], F.lit(False)) for c, _ in others], F.lit(False))
     picked = F.coalesce(base, F.lit(False)) if base is not None else F.lit(False)
-    many = many.withColumns({"_conflict": conflict, "_pick": picked.cast("int")} | {f"_lo_{c}": lo[c] for c, _ in others} | {f"_hi_{c}": hi[c] for c, _ in others})
-    many = many.withColumns({"_any": F.max("_pick").over(w), "_i": F.row_number().over(Window.partitionBy(*keys, time).orderBy(F.desc("_pick"), *order)), "_first": F.row_number().over(total)})
-    left_alone = F.col("_conflict") & (F.col("_any") == 0)
+    bounds = {f"_lo_{c}": F.min(_norm(c, k)).over(w) for c, k in others} | {f"_hi_{c}": F.max(_norm(c, k)).over(w) for c, k in others}
+    rows = df.filter(F.col(time).isNotNull()).withColumn("_pick", picked.cast("int"))
+    rows = rows.withColumns(bounds | {"_any": F.max("_pick").over(w), "_i": F.row_number().over(Window.partitionBy(*keys, time).orderBy(F.desc("_pick"), *order))})
+    conflict = reduce(Column.__or__, [F.coalesce(F.col(f"_lo_{c}") != F.col(f"_hi_{c}"), F.lit(False)) for c, _ in others], F.lit(False))
+    left_alone = conflict & (F.col("_any") == 0)
     filled = {c: F.coalesce(F.col(c), F.when(F.col(f"_lo_{c}") == F.col(f"_hi_{c}"), F.col(f"_lo_{c}") if not k.startswith("map") else F.col(c))) for c, k in others}
-    kept = many.filter(left_alone | (F.col("_i") == 1)).withColumns({c: F.when(left_alone, F.col(c)).otherwise(x) for c, x in filled.items()}).select(*df.columns)
-    return single.select(*df.columns).unionByName(kept).unionByName(df.filter(F.col(time).isNull()))
+    kept = rows.filter(left_alone | (F.col("_i") == 1)).withColumn("_alone", left_alone)
+    kept = kept.withColumns({c: F.when(F.col("_alone"), F.col(c)).otherwise(x) for c, x in filled.items()})
+    return kept.select(*df.columns).unionByName(df.filter(F.col(time).isNull()))
 
 
 def backfill(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], replace_values: bool = False) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -46,6 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _SCRATCH:
         _SCRATCH[app] = tempfile.mkdtemp(prefix="aerolake-")
+        atexit.register(shutil.rmtree, _SCRATCH[app], ignore_errors=True)
         spark.sparkContext.setCheckpointDir("file://" + _SCRATCH[app])
     return "file://" + _SCRATCH[app]
 
@@ -91,8 +94,10 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """One of the driver's tables; zone-less timestamps are taken as UTC."""
+    """One of the driver's tables. Times are UTC: zone-less timestamps are taken so, and the session's zone is set to it."""
     ship_package(spark)
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     df = spark.read.parquet(os.path.join(directory, f"{name}.parquet"))
     naive = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
     return df.withColumns({c: df[c].cast("timestamp") for c in naive}) if naive else df
