@@ -72,15 +72,25 @@ def path_values(files: DataFrame) -> DataFrame:
 
 
 def path_statistics(files: DataFrame) -> DataFrame:
-    """Per file and column: counts by class and kind, level and scatter of its numbers, the shape of its texts."""
+    """Per file and column: counts by class and kind, level and scatter of its numbers, the shape of its texts.
+
+    Cells are first counted by shape (digits and letters alike), so that patterns are matched once per shape and not per
+    cell; a shape's class and kind are those of its least entry.
+    """
     one = path_values(files).select("file_id", F.explode("cells").alias("c")).select("file_id", F.col("c.name").alias("name"), F.col("c.value").alias("value"))
-    number = F.regexp_extract("value", _NUM, 0).try_cast("double")
-    shape = F.regexp_replace(F.regexp_replace(F.substring("value", 1, 40), r"\d", "9"), r"[A-Za-z]", "a")
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    shape = F.translate(F.substring("value", 1, 40), "0123456789" + letters, "9" * 10 + "a" * len(letters))
+    plain = F.col("value").try_cast("double")
+    number = F.when(plain.isNotNull() & ~F.isnan(plain), plain).otherwise(F.regexp_extract("value", _NUM, 0).try_cast("double"))
+    by_shape = one.select("file_id", "name", shape.alias("shape"), "value", number.alias("x")).groupBy("file_id", "name", "shape").agg(F.count("*").alias("n"), F.count("x").alias("nx"), F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx"), F.min("value").alias("value"))
     suffix = F.regexp_extract("value", _NUM + r"\s*([A-Za-z%°µμ][^\d]*)$", 1)
-    one = one.select("file_id", "name", entry_class(F.col("value")).alias("cls"), entry_kind(F.col("value")).alias("kind"), number.alias("x"), shape.alias("shape"), suffix.alias("suffix"))
-    kinds = [F.count_if(F.col("kind") == k).alias(f"k_{k}") for k in ("datetime", "date", "time", "number", "text")]
-    classes = [F.count_if(F.col("cls") == k).alias(f"c_{k}") for k in ("whole", "decimal", "date", "text")]
-    return one.groupBy("file_id", "name").agg(F.count("*").alias("n"), *classes, *kinds, F.avg("x").alias("mean"), F.coalesce(F.stddev_pop("x"), F.lit(0.0)).alias("std"), F.min("shape").alias("shape"), F.max("suffix").alias("suffix"))
+    judged = by_shape.select("*", entry_class(F.col("value")).alias("cls"), entry_kind(F.col("value")).alias("kind"), suffix.alias("suffix"))
+    kinds = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"k_{k}") for k in ("datetime", "date", "time", "number", "text")]
+    classes = [F.sum(F.when(F.col("cls") == k, F.col("n")).otherwise(0)).alias(f"c_{k}") for k in ("whole", "decimal", "date", "text")]
+    total = F.sum("nx")
+    mean = F.sum("sx") / F.nullif(total, F.lit(0))
+    spread = F.sqrt(F.greatest(F.sum("sxx") / F.nullif(total, F.lit(0)) - mean * mean, F.lit(0.0)))
+    return judged.groupBy("file_id", "name").agg(F.sum("n").alias("n"), *classes, *kinds, mean.alias("mean"), F.coalesce(spread, F.lit(0.0)).alias("std"), F.min("shape").alias("shape"), F.max("suffix").alias("suffix"))
 
 
 def file_profiles(files: DataFrame) -> DataFrame:
@@ -107,6 +117,8 @@ def distance(a: dict, b: dict) -> float:
         return 0.0 if a["shape"] == b["shape"] else np.inf
     if a["suffix"] and b["suffix"] and a["suffix"] != b["suffix"]:
         return np.inf
+    if a["mean"] is None or b["mean"] is None:
+        return np.inf
     mixed = 0.5 * ({a["cls"], b["cls"]} == {"whole", "decimal"})
     eps = 0.002 * max(abs(a["mean"]), abs(b["mean"])) + 1e-12
     return mixed + abs(a["mean"] - b["mean"]) / max(a["std"], b["std"], eps) + abs(np.log((a["std"] + eps) / (b["std"] + eps)))

@@ -1,3 +1,4 @@
+from aerolake.operators import drift
 from aerolake.operators.drift import compare, schema_changes, unify_files
 
 SCHEMA = "file_id long, device string, period_start timestamp, header string, body string, n_records int, names string, chunk string"
@@ -57,3 +58,12 @@ def test_one_table(spark, at):
     got = {(r.file_id, r.line_no): (str(r.dtm), r.o3, r.flags) for r in table.collect()}
     assert got == {(1, 0): ("2008-01-01 00:00:00", 40.1, "F"), (1, 1): ("2008-01-01 00:01:00", 40.9, "F"), (2, 0): ("2008-01-02 00:00:00", 40.5, "F"), (2, 1): ("2008-01-02 00:01:00", None, "F"), (2, 2): ("2008-01-02 00:02:00", 40.2, "F"), (3, 0): ("2008-01-03 00:05:00", 3.5, None)}
     assert [(r.file_id, r.column_name, r.quantity, r.failed) for r in report.collect()] == [(2, "ozone", "o3", 1)]
+
+
+def test_chunks_change_nothing(spark, at, monkeypatch):
+    names = ["o3", "ozone", "o3_ppb"]
+    rows = [(i, "a", f"2008-{1 + i // 28:02d}-{1 + i % 28:02d}", f"dtm,{names[(i // 7) % 3]},v" + (",extra" if i % 11 == 0 else ""), body(f"2008-01-01 00:00:00,{40 + i % 3}.5,{i % 5}" + (",x" if i % 11 == 0 else ""))) for i in range(300)]
+    df = frame(spark, at, rows)
+    whole = sorted(map(str, schema_changes(df).collect()))
+    monkeypatch.setattr(drift, "CHUNK", 20)
+    assert sorted(map(str, schema_changes(df).collect())) == whole and len(whole) > 50
