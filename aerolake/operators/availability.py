@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolake.operators.joins import with_scalars
+
 
 def coverage_pivot(df: DataFrame, time: str, by: str, values: Sequence[str]) -> DataFrame:
     """Rows by day and instrument, 0 where there are none. The instruments are given, so the pivot needs no extra scan."""
@@ -69,7 +71,7 @@ def temporal_coverage(df: DataFrame, time: str, base: str, days: int, keys: Sequ
     """The share of the last ``days`` days with data, from counts per base period."""
     per_day = df.groupBy(*keys, F.date_trunc(base, time).alias("_b")).agg(F.count("*").alias("_n")).groupBy(*keys, F.to_date("_b").alias("_d")).agg(F.count("*").alias("_bins"))
     newest = per_day.groupBy(*keys).agg(F.max("_d").alias("_last"))
-    inside = per_day.join(newest, list(keys)) if keys else per_day.crossJoin(F.broadcast(newest))  # one row
+    inside = per_day.join(newest, list(keys)) if keys else with_scalars(per_day, newest)
     return inside.filter(F.col("_d") > F.date_sub("_last", days)).groupBy(*keys).agg((F.count("*") / days).alias("share"), F.sum("_bins").alias("bins"))
 
 

@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 from aerolake.operators.windows import interpolate, ordered
 
 
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """``df`` with the columns of a one-row aggregate, by an equi-join on a constant; the single row is broadcast."""
+    one = one_row.withColumn("_one_right", F.lit(1))
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(one), F.col("_one") == F.col("_one_right")).drop("_one", "_one_right")
+
+
 def outer_chain(frames: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
     """Full outer join of all frames, keys coalesced. Frames that share the join's partitioning aren't shuffled again."""
     return reduce(lambda a, b: a.join(b, list(on), "full"), frames)

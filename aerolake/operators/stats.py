@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolake.operators.joins import with_scalars
+
 
 def regression(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
     """Least squares of y on x and Pearson's r per group: ``n, slope, intercept, r, r2, stderr``; null for n < 2."""
@@ -168,7 +170,7 @@ def box_widths(df: DataFrame, group: str, value: str, width: float = 0.8) -> Dat
     """Counts and box widths in proportion to the largest group, with the quartiles."""
     g = df.groupBy(group).agg(F.count(value).alias("n"), *[F.percentile(value, q).alias(f"p{int(q * 100)}") for q in (0.25, 0.5, 0.75)])
     top = g.agg(F.max("n").alias("_top"))
-    return g.crossJoin(F.broadcast(top)).withColumn("width", F.col("n") / F.col("_top") * width).drop("_top")  # one row
+    return with_scalars(g, top).withColumn("width", F.col("n") / F.col("_top") * width).drop("_top")
 
 
 def two_stage(df: DataFrame, inner: Sequence[Column], outer: Sequence[str], value: str, first: str = "sum", second: str = "mean") -> DataFrame:

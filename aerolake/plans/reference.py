@@ -141,7 +141,7 @@ def a16(spark, d):
 def a17(spark, d):
     rows = obs(spark, d)
     span = rows.agg(F.date_trunc("day", F.min("dtm")).alias("_a"), F.max("dtm").alias("_z"))
-    rows = rows.crossJoin(F.broadcast(span))  # one row
+    rows = joins.with_scalars(rows, span)
     return availability.availability(rows, "dtm", F.col("_a"), F.col("_z"), 600, ["event_type", "_a", "_z"]).drop("_a", "_z")
 
 

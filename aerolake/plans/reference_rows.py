@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aerolake.functions import numeric, timeparse
 from aerolake.operators import flags, merge, profiles, stats, windows
+from aerolake.operators.joins import with_scalars
 from aerolake.operators.validity import only_valid
 from aerolake.plans.reference import _GOOD, obs, query, r6, sec
 from aerolake.session import table
@@ -346,7 +347,7 @@ def m12(spark, d):
 def m13(spark, d):
     rows = obs(spark, d)
     last = rows.agg(F.max(F.when(F.col("value") > 200, F.col("us"))).alias("last"))
-    return rows.join(F.broadcast(last)).select("event_id", F.when(F.col("us") <= F.col("last"), F.col("value") * 1.5).otherwise(F.col("value")).alias("value"))  # one row
+    return with_scalars(rows, last).select("event_id", F.when(F.col("us") <= F.col("last"), F.col("value") * 1.5).otherwise(F.col("value")).alias("value"))
 
 
 @query("M14_curve_fit")
