@@ -66,7 +66,7 @@ SQL = {
         r AS (SELECT fragment_id, device, list_transform(string_split(l[1], ','), lambda x: lower(trim(x))) AS names, unnest(l[2:]) AS line FROM f),
         v AS (SELECT fragment_id, device, names, string_split(line, ',') AS v FROM r WHERE trim(line) <> ''),
         k AS (
-            SELECT fragment_id, device, epoch_us(CAST(v[list_position(names, 'dtm')] AS TIMESTAMPTZ)) AS us,
+            SELECT fragment_id, device, epoch_us(CAST(v[list_position(names, 'dtm')] || CASE WHEN regexp_matches(v[list_position(names, 'dtm')], '(Z|[+-][0-9]{2}:[0-9]{2})$') THEN '' ELSE 'Z' END AS TIMESTAMPTZ)) AS us,
                    list_sort(list_filter(list_transform(range(1, len(names) + 1), lambda i: CASE WHEN names[i] <> 'dtm' AND trim(v[i]) <> '' THEN names[i] || '=' || CAST(CAST(v[i] AS DOUBLE) + 0 AS VARCHAR) END), lambda x: x IS NOT NULL)) AS cells
             FROM v),
         firsts AS (SELECT DISTINCT min(fragment_id) AS fragment_id FROM k GROUP BY device, us, cells)
