@@ -153,36 +153,46 @@ def length_hazards(documents: DataFrame) -> DataFrame:
 
 
 def recurring_closers(ends: DataFrame, documents: DataFrame) -> list[str]:
-    """Shapes of last lines that recur and don't go on elsewhere.
+    """Shapes of last lines that recur and don't go on elsewhere. Copies of one text are one text, as in the hazards.
 
-    At most 1 / CLOSER_SHARE (5000) shapes can reach the share, so the list sent to the workers is bounded.
+    ends: ``ending, line, hash``; documents: ``text, hash``. At most 1 / CLOSER_SHARE (5000) shapes can reach the share, so
+    the list sent to the workers is bounded. A task returns a text's continuations of a shape only until the shape has too many.
     """
     import ahocorasick
 
-    total = documents.count()
+    total = ends.select("hash").distinct().count()
     need = max(CLOSER_LEAST, math.ceil(CLOSER_SHARE * total))
-    rows = ends.filter(F.col("ending").isin("open", "trailing", "marked") & F.col("line").isNotNull()).groupBy("line").agg(F.count("*").alias("n")).filter(F.col("n") >= need).collect()
+    rows = ends.filter(F.col("ending").isin("open", "trailing", "marked") & F.col("line").isNotNull()).select("line", "hash").distinct().groupBy("line").agg(F.count("*").alias("n")).filter(F.col("n") >= need).collect()
     if not rows:
         return []
     ended = {r["line"]: r["n"] for r in rows}
-    shapes = documents.sparkSession.sparkContext.broadcast(sorted(ended))
+    shapes = documents.sparkSession.sparkContext.broadcast([(s, GOES_ON * ended[s]) for s in sorted(ended)])
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         automaton = ahocorasick.Automaton()
-        for k, s in enumerate(shapes.value):
+        for k, (s, _) in enumerate(shapes.value):
             automaton.add_word(s, (k, len(s)))
         automaton.make_automaton()
+        enough = [most for _, most in shapes.value]
+        found: dict[int, dict[int, int]] = {}  # shape -> text -> continuations; never more than make a shape go on
+        total_of: Counter[int] = Counter()
         for pdf in batches:
-            on: Counter[int] = Counter()
-            for t in pdf["text"]:
+            for t, h in zip(pdf["text"], pdf["hash"], strict=True):
                 x = shape(t)
+                on: Counter[int] = Counter()
                 for at, (k, n) in automaton.iter(x):
                     after = x[at + 1 : at + 2]
                     if after and after not in "\r\n" and (at + 1 == n or not x[at - n].isalnum()) and x[at + 1 :].strip():
                         on[k] += 1
-            yield pd.DataFrame({"k": list(on), "n": list(on.values())}, columns=["k", "n"]).astype("int64")
-
-    goes = {r["k"]: r["n"] for r in documents.filter("text is not null").select("text").mapInPandas(scan, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()}
+                for k, n in on.items():
+                    if total_of[k] <= enough[k] and h not in found.setdefault(k, {}):
+                        found[k][h] = n
+                        total_of[k] += n
+        rows = [(k, h, n) for k, texts in found.items() for h, n in texts.items()]
+        yield pd.DataFrame(rows, columns=["k", "hash", "n"]).astype("int64")
+
+    on = documents.filter("text is not null").select("text", "hash").mapInPandas(scan, "k long, hash long, n long").groupBy("k", "hash").agg(F.max("n").alias("n"))
+    goes = {r["k"]: r["n"] for r in on.groupBy("k").agg(F.sum("n").alias("n")).collect()}
     return [s for k, s in enumerate(sorted(ended)) if goes.get(k, 0) <= GOES_ON * ended[s]]
 
 
@@ -191,29 +201,31 @@ def judge(documents: DataFrame) -> DataFrame:
 
     documents: ``doc_id, source, text``; others are ignored. ``cut``: the text ends inside a word or a sentence, whether or
     not a mark follows. ``at_limit``: its length is, up to eight characters of trimming, a limit of the source. Null,
-    empty and blank texts are whole; repeated documents are judged each; null sources form one source; an empty table
-    gives an empty one. Whole texts are read.
+    empty and blank texts are whole; repeated documents are judged each, but are one text where the corpus is evidence (limits,
+    recurring last lines, numbers); null sources form one source; an empty table gives an empty one. Whole texts are read.
 
     A number with a full stop at the end ("set to 3." or "back to 6." of "6.1") is whole unless, in the whole corpus, a
     decimal follows its two words more often than a full stop.
 
-    Scale: two scans of the texts; what is shuffled are counts (by length, by last line, by two words before a number) and
-    one row per document without its text.
+    Scale: three scans of the texts; what is shuffled are hashes of texts with a length, a last line or the two words before a
+    number, and one row per document without its text.
     """
-    docs = documents.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"))
+    text = F.col("text").cast("string")
+    docs = documents.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), text.alias("text"), F.xxhash64(text).alias("hash"))
 
     def ends_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             kind = [ending(t) for t in pdf["text"]]
             stopped = [_stopped_context(t) if k == "stopped" else None for k, t in zip(kind, pdf["text"], strict=True)]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "ending": kind, "line": [_last_line(t) for t in pdf["text"]], "stopped": stopped, "chars": [len(t or "") for t in pdf["text"]], "bytes": [len((t or "").encode()) for t in pdf["text"]]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "hash": pdf["hash"], "ending": kind, "line": [_last_line(t) for t in pdf["text"]], "stopped": stopped, "chars": [len(t or "") for t in pdf["text"]], "bytes": [len((t or "").encode()) for t in pdf["text"]]})
 
-    ends = materialize(docs.mapInPandas(ends_of, "doc_id long, source string, ending string, line string, stopped string, chars int, bytes int"), "endings")
+    ends = materialize(docs.mapInPandas(ends_of, "doc_id long, source string, hash long, ending string, line string, stopped string, chars int, bytes int"), "endings")
 
     def numbers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            stop, on = Counter(), Counter()
-            for t in pdf["text"]:
+            rows = []
+            for t, h in zip(pdf["text"], pdf["hash"], strict=True):
+                stop, on = Counter(), Counter()
                 end = len(t.rstrip())
                 for m in _NUMBERS.finditer(t):
                     whole = m[0].rstrip(".,:")
@@ -223,11 +235,12 @@ def judge(documents: DataFrame) -> DataFrame:
                             stop[two] += 1
                     elif "." in whole and (two := two_before(t, m.start())):
                         on[two] += 1
-            keys = sorted(stop.keys() | on.keys())
-            yield pd.DataFrame({"two": keys, "n_stop": [stop[k] for k in keys], "n_on": [on[k] for k in keys]}, columns=["two", "n_stop", "n_on"]).astype({"n_stop": "int64", "n_on": "int64"})
+                rows += [(k, h, stop[k], on[k]) for k in stop.keys() | on.keys()]
+            yield pd.DataFrame(rows, columns=["two", "hash", "n_stop", "n_on"]).astype({"hash": "int64", "n_stop": "int64", "n_on": "int64"})
 
-    wanted = ends.filter("stopped is not null").select(F.col("stopped").alias("two")).distinct()
-    context = docs.filter("text is not null").select("text").mapInPandas(numbers, "two string, n_stop long, n_on long").join(wanted, "two", "left_semi").groupBy("two").agg(F.sum("n_stop").alias("n_stop"), F.sum("n_on").alias("n_on"))
+    wanted = materialize(ends.filter("stopped is not null").select(F.col("stopped").alias("two")).distinct(), "contexts")
+    each = docs.filter("text is not null").select("text", "hash").mapInPandas(numbers, "two string, hash long, n_stop long, n_on long").join(wanted, "two", "left_semi").groupBy("two", "hash").agg(F.max("n_stop").alias("n_stop"), F.max("n_on").alias("n_on"))
+    context = each.groupBy("two").agg(F.sum("n_stop").alias("n_stop"), F.sum("n_on").alias("n_on"))
 
     limits = materialize(length_hazards(documents).filter("limit").select("source", "unit", "length"), "limits")
     near = F.explode(F.sequence(F.greatest(F.lit(1), F.col("length") - TRIM), F.col("length")))

@@ -76,3 +76,18 @@ def test_corner_cases(spark):
     rows = [(1, None, None), (2, None, ""), (3, "s", "cut in the midd"), (3, "s", "cut in the midd"), (4, "s", "long " * 100_000 + "end")]
     assert sorted(r.doc_id for r in truncated(frame(spark, rows)).collect()) == [3, 3, 4]
     assert truncated(frame(spark, [])).count() == 0 and truncation_rates(frame(spark, [])).count() == 0
+
+
+def test_copies_of_a_cut_text_are_no_closer(spark):
+    cut = "The pump ran over night.\nThe calibration uni"
+    rows = [(i, "s", cut) for i in range(50)] + [(50, "s", cut + "t was moved."), (51, "t", "Other words here.\nThe calibration uni")]
+    rows += [(100 + i, "s", f"Text number {i} is whole.") for i in range(100)]
+    assert sorted(r.doc_id for r in truncated(frame(spark, rows)).collect()) == [*range(50), 51]
+
+
+def test_copies_are_one_text_of_evidence(spark):
+    closer = [(i, "s", f"Note {'x' * i} is whole.\nSee you tomorrow") for i in range(12)]
+    goes_on = [(100 + i, "s", "We wrote it.\nSee you tomorrow at the mast.") for i in range(50)]  # one text that goes on
+    decimals = [(200 + i, "s", "The flag was set to 3.5 again.") for i in range(20)]  # one text with a decimal
+    whole = [(300 + i, "s", f"Now set to {i}. It held {'y' * i}.") for i in range(3)] + [(400, "s", "The flag was set to 3.")]
+    assert truncated(frame(spark, closer + goes_on + decimals + whole)).count() == 0
