@@ -272,6 +272,12 @@ def f09(spark, d):
     return rows.select("event_id", F.round(x, 9).alias("x"), sec(timeparse.from_decimal_year(x)).alias("back"))
 
 
+@query("F09_decimal_year_whole", "+y AS (SELECT event_id, us, year(dtm) AS y, epoch_us(date_trunc('year', dtm)) AS a, epoch_us(date_trunc('year', dtm) + INTERVAL 1 YEAR) AS b FROM obs), x AS (SELECT *, y + (us - a)::DOUBLE / (b - a)::DOUBLE AS x FROM y) SELECT event_id, round(x, 9) AS x, round((a // 1000000)::DOUBLE + (x - floor(x)) * ((b - a) // 1000000)::DOUBLE)::BIGINT AS back FROM x")
+def f09_whole(spark, d):
+    x = timeparse.decimal_year(F.col("dtm"))
+    return obs(spark, d).select("event_id", F.round(x, 9).alias("x"), sec(timeparse.from_decimal_year(x)).alias("back"))
+
+
 @query("F10_days_since_new_year", "SELECT event_id, round((us - epoch_us(TIMESTAMP '2024-01-01'))::DOUBLE / 86400e6, 6) AS days FROM obs")
 def f10(spark, d):
     return obs(spark, d).select("event_id", timeparse.days_since_new_year(F.col("dtm"), F.lit(2024)).alias("days"))

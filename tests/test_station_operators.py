@@ -210,3 +210,22 @@ def test_joins_and_predicates(spark, at):
     assert [r.x for r in df.select(validity.mask_negative(F.col("v") - 1.5).alias("x")).collect()] == [None, 0.5, None, None]
     text = spark.createDataFrame([(1.0, "bad")], "v double, f string").select(validity.valid(F.col("v"), F.col("f")).alias("x")).first().x
     assert text is False
+
+
+def whole_query(name, spark, tmp_path, table, rows, schema):
+    """The rows of a registered query over one small table."""
+    from aerolake.plans import registry
+
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"{table}.parquet"))
+    return registry.QUERIES[name](spark, str(tmp_path)).collect()
+
+
+EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+
+
+def test_decimal_year_of_every_event(spark, at, tmp_path):
+    parts = ["00", "05", "25", "45", "55", "75", "999999"]  # in both halves of a second; the old query left out most
+    times = [at(f"{y}-12-31 23:59:{s:02d}.{f:0<6}") for y in (2023, 2024) for s in (0, 58, 59) for f in parts]
+    rows = [(i, t, 1, "view", 1.0, '{"k": 1}') for i, t in enumerate(times)]
+    got = {r.event_id: r.back for r in whole_query("F09_decimal_year_whole", spark, tmp_path, "events", rows, EVENTS)}
+    assert got == {i: int(t.timestamp()) + (t.microsecond > 500_000) for i, t in enumerate(times)}
