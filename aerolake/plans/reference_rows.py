@@ -349,6 +349,25 @@ def m12(spark, d):
     return rows.select("event_id", F.round(profiles.pump_corrected(F.col("k"), F.col("value") + 1), 5).alias("corrected"))
 
 
+@query("M12_pump_whole", "+b AS (SELECT p0, f0, lead(p0) OVER w AS p1, lead(f0) OVER w AS f1 FROM (VALUES (3, 1.24::DOUBLE), (5, 1.124), (7, 1.087), (10, 1.066), (15, 1.048), (20, 1.041), (30, 1.029), (50, 1.018), (70, 1.013), (100, 1.007), (150, 1.002), (200, 1), (1000, 1)) t(p0, f0) WINDOW w AS (ORDER BY p0)) SELECT event_id, round(k * CASE WHEN value + 1 <= 0 THEN NULL WHEN value + 1 <= 3 THEN 1.24 WHEN value + 1 > 1000 THEN 1 ELSE f0 + (ln(value + 1) - ln(p0)) * (f1 - f0) / (ln(p1) - ln(p0)) END, 5) AS corrected FROM obs LEFT JOIN b ON value + 1 > p0 AND value + 1 <= p1")
+def m12_pump_whole(spark, d):
+    return obs(spark, d).select("event_id", F.round(profiles.pump_corrected(F.col("k"), F.col("value") + 1), 5).alias("corrected"))
+
+
+def _profiles(spark, d):
+    return obs(spark, d).select("user_id", (F.col("value") + 1 + F.col("event_id") / 1e6).alias("p"), F.col("k").alias("o3"))
+
+
+@query("M12_integral", "+x AS (SELECT user_id, value + 1 + event_id / 1e6 AS p, k AS o3 FROM obs), d AS (SELECT user_id, (o3 + lag(o3) OVER w) / 2 * (ln(lag(p) OVER w) - ln(p)) AS piece FROM x WINDOW w AS (PARTITION BY user_id ORDER BY p DESC)) SELECT user_id, round(0.79 * coalesce(sum(piece), 0), 6) AS integral FROM d GROUP BY 1")
+def m12_integral(spark, d):
+    return profiles.ozone_integral(_profiles(spark, d), ["user_id"], "p", "o3").select("user_id", r6("integral").alias("integral"))
+
+
+@query("M12_residual", "+x AS (SELECT user_id, value + 1 + event_id / 1e6 AS p, k AS o3 FROM obs), t AS (SELECT *, min(p) OVER (PARTITION BY user_id) AS top FROM x) SELECT user_id, round(0.79 * avg(o3 / p) * min(top), 6) AS residual FROM t WHERE p < top + 2 GROUP BY 1")
+def m12_residual(spark, d):
+    return profiles.residual_ozone(_profiles(spark, d), ["user_id"], "p", "o3").select("user_id", r6("residual").alias("residual"))
+
+
 @query("M13_late_correction", "+l AS (SELECT max(us) FILTER (WHERE value > 200) AS last FROM obs) SELECT event_id, CASE WHEN us <= last THEN value * 1.5 ELSE value END AS value FROM obs, l")
 def m13(spark, d):
     rows = obs(spark, d)

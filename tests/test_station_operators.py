@@ -229,3 +229,18 @@ def test_decimal_year_of_every_event(spark, at, tmp_path):
     rows = [(i, t, 1, "view", 1.0, '{"k": 1}') for i, t in enumerate(times)]
     got = {r.event_id: r.back for r in whole_query("F09_decimal_year_whole", spark, tmp_path, "events", rows, EVENTS)}
     assert got == {i: int(t.timestamp()) + (t.microsecond > 500_000) for i, t in enumerate(times)}
+
+
+def test_pump_integral_and_residual_over_all_pressures(spark, at, tmp_path):
+    pressures = [1.0, 3.0, 5.0, 7.0, 10.0, 15.0, 20.0, 30.0, 50.0, 70.0, 100.0, 150.0, 200.0, 1000.0, 2000.0]
+    rows = [(i, at("2024-01-01 00:00:00"), 7, "view", p - 1, '{"k": 2}') for i, p in enumerate(pressures)]
+    got = {r.event_id: r.corrected for r in whole_query("M12_pump_whole", spark, tmp_path, "events", rows, EVENTS)}
+    factors = [1.24, 1.24, 1.124, 1.087, 1.066, 1.048, 1.041, 1.029, 1.018, 1.013, 1.007, 1.002, 1, 1, 1]
+    assert got == {i: pytest.approx(2 * f) for i, f in enumerate(factors)}
+
+    from aerolake.plans import registry
+
+    integral, = registry.QUERIES["M12_integral"](spark, str(tmp_path)).collect()
+    assert tuple(integral) == (7, pytest.approx(0.79 * 2 * math.log(2000), abs=1e-4))
+    residual, = registry.QUERIES["M12_residual"](spark, str(tmp_path)).collect()
+    assert tuple(residual) == (7, pytest.approx(0.79 * 2, abs=1e-4))  # 3 hPa and a millionth lie outside the top 2 hPa
