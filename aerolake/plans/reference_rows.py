@@ -415,6 +415,11 @@ def c02(spark, d):
     return table(spark, d, "thermo_lines").filter(x.rlike("^[0-9.]+$")).select("line_id", x.try_cast("double").alias("x"))
 
 
+@query("C02_tolerant_cast_whole", r"WITH f AS (SELECT line_id, regexp_replace(split_part(line, ',', 4), '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS v FROM thermo_lines) SELECT line_id, CASE WHEN regexp_matches(v, '^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]?$') THEN TRY_CAST(rtrim(v, 'dDfF') AS DOUBLE) WHEN lower(v) = 'nan' THEN 'NaN'::DOUBLE WHEN regexp_matches(lower(v), '^[+]?inf(inity)?$') THEN 'Infinity'::DOUBLE WHEN regexp_matches(lower(v), '^-inf(inity)?$') THEN '-Infinity'::DOUBLE END AS x FROM f", with_obs=False)
+def c02_whole(spark, d):
+    return table(spark, d, "thermo_lines").select("line_id", F.split_part("line", F.lit(","), F.lit(4)).try_cast("double").alias("x"))
+
+
 @query("C03_coalesce", "SELECT row_id, coalesce(value, aux, -1) AS v, flag IS NOT DISTINCT FROM NULL AS unflagged FROM level1_rows WHERE value IS NULL OR NOT isnan(value)", with_obs=False)
 def c03(spark, d):
     rows = table(spark, d, "level1_rows").filter(F.col("value").isNull() | ~F.isnan("value"))

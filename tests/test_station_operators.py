@@ -244,3 +244,10 @@ def test_pump_integral_and_residual_over_all_pressures(spark, at, tmp_path):
     assert tuple(integral) == (7, pytest.approx(0.79 * 2 * math.log(2000), abs=1e-4))
     residual, = registry.QUERIES["M12_residual"](spark, str(tmp_path)).collect()
     assert tuple(residual) == (7, pytest.approx(0.79 * 2, abs=1e-4))  # 3 hPa and a millionth lie outside the top 2 hPa
+
+
+def test_tolerant_cast_of_every_line(spark, tmp_path):
+    cells = {"10.2": 10.2, "": None, "ERR": None, "#N/A": None, "1114E-2": 11.14, "-3.5": -3.5, "+31": 31.0, "+-31": None, " 3.1 ": 3.1, "2.6.1": None, "2261E": None, "0x1F": None, "1 2.5": None}
+    rows = [(i, f"00:00,01-01-08,0C100000,{c},1") for i, c in enumerate(cells)] + [(98, "cut,off"), (99, None)]
+    got = {r.line_id: r.x for r in whole_query("C02_tolerant_cast_whole", spark, tmp_path, "thermo_lines", rows, "line_id long, line string")}
+    assert got == dict(enumerate(cells.values())) | {98: None, 99: None}
