@@ -140,6 +140,12 @@ def k08(spark, d):
     return lines.join(ids, F.col("dtm") == F.col("t")).select("event_id", "line")
 
 
+@query("K08_submission_lines_whole", "SELECT us, 'MKN ' || strftime(dtm, '%Y-%m-%d %H:%M') || ' ' || CASE WHEN value IS NULL THEN '-99.9' WHEN value % 1 = 0 THEN CAST(value::BIGINT AS VARCHAR) ELSE rtrim(CAST(value::DECIMAL(12, 2) AS VARCHAR), '0') END AS line FROM obs")
+def k08_whole(spark, d):
+    lines = wdcgg_lines(obs(spark, d).withColumn("iii", F.lit(187)), "dtm", "iii", ["value"])
+    return lines.select(F.unix_micros("dtm").alias("us"), "line")
+
+
 @query("K09_submission_units", "SELECT row_id, round(pressure / 100, 6) AS pressure, round(temperature + 273.15, 6) AS temperature, flow1 / 1000 AS flow1, bc6 / 1000 AS bc6 FROM ae33", with_obs=False)
 def k09(spark, d):
     return ebas_columns(table(spark, d, "ae33").select("row_id", "pressure", "temperature", "flow1", "bc6")).withColumns({"pressure": r6("pressure"), "temperature": r6("temperature")})

@@ -251,3 +251,13 @@ def test_tolerant_cast_of_every_line(spark, tmp_path):
     rows = [(i, f"00:00,01-01-08,0C100000,{c},1") for i, c in enumerate(cells)] + [(98, "cut,off"), (99, None)]
     got = {r.line_id: r.x for r in whole_query("C02_tolerant_cast_whole", spark, tmp_path, "thermo_lines", rows, "line_id long, line string")}
     assert got == dict(enumerate(cells.values())) | {98: None, 99: None}
+
+
+def test_submission_lines_of_every_event(spark, at, tmp_path):
+    from aerolake.sources.sinks import wdcgg_lines
+
+    rows = [(i, at(f"2024-01-01 00:0{i}:00"), 1, "view", None if i == 4 else i + 0.5, '{"k": 1}') for i in range(6)]
+    got = [r.line for r in whole_query("K08_submission_lines_whole", spark, tmp_path, "events", rows, EVENTS)]
+    assert sorted(got) == [f"MKN 2024-01-01 00:0{i} {-99.9 if i == 4 else i + 0.5}" for i in range(6)]
+    df = spark.createDataFrame([(at("2024-01-01"), 187, 1.0), (at("2024-01-02"), 999, 2.0), (at("2024-01-03"), None, 3.0)], "dtm timestamp, iii int, v double")
+    assert [r.line for r in wdcgg_lines(df, "dtm", "iii", ["v"]).collect()] == ["MKN 2024-01-01 00:00 1"]  # no unmapped station
