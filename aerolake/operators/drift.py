@@ -74,17 +74,19 @@ def path_values(files: DataFrame) -> DataFrame:
 def path_statistics(files: DataFrame) -> DataFrame:
     """Per file and column: counts by class and kind, level and scatter of its numbers, the shape of its texts.
 
-    Cells are first counted by shape (digits and letters alike), so that patterns are matched once per shape and not per
-    cell; a shape's class and kind are those of its least entry.
+    Cells are first counted by form (the whole entry, its digits alike), so that patterns are matched once per form and not
+    per cell: class, kind and suffix depend on the form alone, but for numbers that may be dates or epochs, whose kind is told per cell.
     """
     one = path_values(files).select("file_id", F.explode("cells").alias("c")).select("file_id", F.col("c.name").alias("name"), F.col("c.value").alias("value"))
     letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    shape = F.translate(F.substring("value", 1, 40), "0123456789" + letters, "9" * 10 + "a" * len(letters))
+    form = F.translate("value", "0123456789", "9" * 10)
+    stamp = F.when((F.length("value") >= 8) & form.rlike(r"^9{8,10}(?:\.9+)?$"), entry_kind(F.col("value")))
+    shape = F.translate(F.substring("form", 1, 40), letters, "a" * len(letters))
     plain = F.col("value").try_cast("double")
     number = F.when(plain.isNotNull() & ~F.isnan(plain), plain).otherwise(F.regexp_extract("value", _NUM, 0).try_cast("double"))
-    by_shape = one.select("file_id", "name", shape.alias("shape"), "value", number.alias("x")).groupBy("file_id", "name", "shape").agg(F.count("*").alias("n"), F.count("x").alias("nx"), F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx"), F.min("value").alias("value"))
+    by_form = one.select("file_id", "name", form.alias("form"), stamp.alias("stamp"), "value", number.alias("x")).groupBy("file_id", "name", "form", "stamp").agg(F.count("*").alias("n"), F.count("x").alias("nx"), F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx"), F.min("value").alias("value"))
     suffix = F.regexp_extract("value", _NUM + r"\s*([A-Za-z%°µμ][^\d]*)$", 1)
-    judged = by_shape.select("*", entry_class(F.col("value")).alias("cls"), entry_kind(F.col("value")).alias("kind"), suffix.alias("suffix"))
+    judged = by_form.select("*", shape.alias("shape"), entry_class(F.col("value")).alias("cls"), entry_kind(F.col("value")).alias("kind"), suffix.alias("suffix"))
     kinds = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"k_{k}") for k in ("datetime", "date", "time", "number", "text")]
     classes = [F.sum(F.when(F.col("cls") == k, F.col("n")).otherwise(0)).alias(f"c_{k}") for k in ("whole", "decimal", "date", "text")]
     total = F.sum("nx")

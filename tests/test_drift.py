@@ -67,3 +67,16 @@ def test_chunks_change_nothing(spark, at, monkeypatch):
     whole = sorted(map(str, schema_changes(df).collect()))
     monkeypatch.setattr(drift, "CHUNK", 20)
     assert sorted(map(str, schema_changes(df).collect())) == whole and len(whole) > 50
+
+
+def test_entries_of_one_shape_are_judged_each(spark, at):
+    word = "x" * 40
+    first = ["0C100400,12 Jan 2008,20080101,1.5 ppb," + word + "1"] * 3
+    later = ["0E100400,12 Foo 2008,20081301,1.5 abc," + word + "1"] + ["1C000000,12 Jan 2008,20080102,1.5 ppb," + word + "1"] * 3
+    rows = [(1, "a", "2008-01-01", "flags,day,number,o3,long", body(*first)), (2, "a", "2008-01-02", "flags,day,number,o3,long", body(*later))]
+    stats = {(r.file_id, r["name"]): r for r in drift.path_statistics(frame(spark, at, rows)).collect()}
+    assert (stats[2, "flags"].c_decimal, stats[2, "flags"].c_text) == (1, 3)
+    assert (stats[2, "day"].k_date, stats[2, "day"].k_text) == (3, 1)
+    assert (stats[2, "number"].k_date, stats[2, "number"].k_number) == (3, 1)
+    assert stats[2, "o3"].suffix == "ppb"
+    assert schema_changes(frame(spark, at, rows)).count() == 0
