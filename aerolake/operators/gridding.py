@@ -20,7 +20,8 @@ RANK = 4  # singular vectors kept
 ROUNDS = 30  # at most; the change under TOLERANCE of the scatter ends earlier
 TOLERANCE = 1e-3
 SLOTS = 4096  # slots of a chunk
-LEAST = 48  # known slots a chunk needs for imputation
+HALO = 1024  # slots on either side that a chunk is imputed with
+LEAST = 48  # known slots a chunk and its halo need for imputation
 
 GRID = "device string, slot_epoch long, cadence_s int, n long, value double, missing boolean, filled boolean"
 
@@ -73,15 +74,16 @@ def regularize(readings: DataFrame, devices: DataFrame) -> DataFrame:
     table gives an empty one; NaN is no value.
 
     Scale: readings are aggregated to slots before anything else, with partial aggregation; a series is cut into chunks
-    of 4096 slots, so neither a device with much of all rows nor a gap of years is one task. A chunk is imputed by itself.
+    of 4096 slots, so neither a device with much of all rows nor a gap of years is one task. A chunk is imputed together with
+    the 1024 slots before and behind it, as far as the series has them, and keeps its own.
     """
     cadence = devices.filter(F.col("device").isNotNull() & (F.col("cadence_s") > 0)).groupBy("device").agg(F.min(F.col("cadence_s").cast("int")).alias("cadence_s"))
     value = F.col("value").cast("double")
     keyed = readings.filter(F.col("device").isNotNull() & F.col("dtm").isNotNull()).select(F.col("device").cast("string"), F.floor(F.unix_micros("dtm") / 1_000_000).alias("s"), F.when(~F.isnan(value), value).alias("value")).join(cadence, "device")
     slots = keyed.groupBy("device", "cadence_s", F.floor(F.col("s") / F.col("cadence_s")).alias("slot")).agg(F.avg("value").alias("value"), F.count("*").alias("n"))
-    chunk = F.floor(F.col("slot") / SLOTS)
+    chunk = F.explode(F.sequence(F.floor((F.col("slot") - HALO) / SLOTS), F.floor((F.col("slot") + HALO) / SLOTS)))
     slots = slots.select("device", "cadence_s", "slot", chunk.alias("chunk"), "value", "n")
-    spans = slots.groupBy(F.col("device").alias("dev"), F.col("cadence_s").alias("cad")).agg(F.min("slot").alias("first"), F.max("slot").alias("last"))
+    spans = slots.filter(F.col("chunk") == F.floor(F.col("slot") / SLOTS)).groupBy(F.col("device").alias("dev"), F.col("cadence_s").alias("cad")).agg(F.min("slot").alias("first"), F.max("slot").alias("last"))
     spans = spans.select("dev", "cad", "first", "last", F.explode(F.sequence(F.floor(F.col("first") / SLOTS), F.floor(F.col("last") / SLOTS))).alias("piece"))
 
     def fill(key: tuple, span: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
@@ -89,11 +91,14 @@ def regularize(readings: DataFrame, devices: DataFrame) -> DataFrame:
             return typed_frame([], GRID)
         s = span.iloc[0]
         low, high = max(int(s["first"]), int(s["piece"]) * SLOTS), min(int(s["last"]), (int(s["piece"]) + 1) * SLOTS - 1)
-        x, n = np.full(high - low + 1, np.nan), np.zeros(high - low + 1, np.int64)
-        at = own["slot"].to_numpy(np.int64) - low
+        start, end = max(int(s["first"]), low - HALO), min(int(s["last"]), high + HALO)
+        x, n = np.full(end - start + 1, np.nan), np.zeros(end - start + 1, np.int64)
+        at = own["slot"].to_numpy(np.int64) - start
         x[at] = own["value"].to_numpy(float)
         n[at] = own["n"].to_numpy(np.int64)
-        out, done = ssa_impute(x)
+        core = slice(low - start, high - start + 1)
+        out, done = ssa_impute(x) if np.isnan(x[core]).any() else (x, np.zeros(len(x), bool))
+        out, done, n = out[core], done[core], n[core]
         return pd.DataFrame({"device": key[0], "slot_epoch": np.arange(low, high + 1) * int(s["cad"]), "cadence_s": int(s["cad"]), "n": n, "value": pd.arrays.FloatingArray(np.nan_to_num(out), np.isnan(out)), "missing": n == 0, "filled": done})
 
     return spans.groupBy("dev", "piece").cogroup(slots.groupBy("device", "chunk")).applyInPandas(fill, GRID)

@@ -52,3 +52,15 @@ def test_usable_readings(spark, at):
     )
     dev = spark.createDataFrame([("x", 60), ("y", 60)], "device string, cadence_s int")
     assert {tuple(r) for r in missing_slots(ae33, avo, dev).collect()} == {("x", 1199145660), ("y", 1199145660)}
+
+
+def test_chunks_are_filled_from_their_neighbours(spark):
+    # the last chunk has ten slots, one of them missing; another gap lies at the border
+    first, last = 10 * gridding.SLOTS - 300, 10 * gridding.SLOTS + 9
+    gaps = {10 * gridding.SLOTS - 1, 10 * gridding.SLOTS, last - 3}
+    rows = [("a", 60 * i, float(np.sin(i / 7))) for i in range(first, last + 1) if i not in gaps]
+    r = spark.createDataFrame(rows, "device string, s long, value double").selectExpr("device", "timestamp_seconds(s) AS dtm", "value")
+    got = {x.slot_epoch // 60: x for x in regularize(r, spark.createDataFrame([("a", 60)], "device string, cadence_s int")).collect()}
+    assert sorted(got) == list(range(first, last + 1))
+    assert {i for i, x in got.items() if x.missing} == gaps == {i for i, x in got.items() if x.filled}
+    assert all(abs(got[i].value - np.sin(i / 7)) < 0.05 for i in gaps)
