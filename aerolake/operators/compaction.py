@@ -6,14 +6,26 @@ verification of counts and checksums against the manifest, and a commit that is
 
 from __future__ import annotations
 
+import csv
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.session import filesystem, materialize, scratch_path
+from aerolake.session import discard, filesystem, scratch_path, write_scratch
+
+TARGET_BYTES = 128 << 20
+BLOCK_BINS = 64  # bins that one block of first-fit decreasing fills
+BLOCK_FILES = 1_000_000  # files of a block at most, which bounds a task's list
+MOST_BINS = 100_000  # tasks of the rewrite; beyond that the files are made larger
+COLUMNS = 400  # names that become typed columns, the most frequent first; cells under other names stay in ``rest``
+
+_LINE_END = re.compile(r"\r\n|\n|\r")
+_QUOTED_LINE = re.compile(r'(?:\s*"(?:[^"]|"")*"\s*|[^",]*)(?:,(?:\s*"(?:[^"]|"")*"\s*|[^",]*))*')
 
 
 @dataclass(frozen=True)
@@ -25,10 +37,10 @@ class Compacted:
     n_records: int
     n_bins: int
 
-    def records(self, spark) -> DataFrame:
+    def records(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/data")
 
-    def manifest(self, spark) -> DataFrame:
+    def manifest(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/manifest")
 
 
@@ -39,28 +51,95 @@ def _instant_us(text: Column) -> Column:
     return F.unix_micros(zoned.try_cast("timestamp"))
 
 
-def parse_fragments(fragments: DataFrame) -> DataFrame:
-    """One row per record line: ``fragment_id, device, content_hash, us, stamp, cells``.
+def quoted_rows(content: str) -> list[list[str]]:
+    """Fields of every line of a text with quotes; a quoted field may hold commas, line ends and doubled quotes.
 
-    ``cells`` is the sorted array of (column, value) of all filled columns but dtm: column names in lower case without
-    outer blanks, numbers in one spelling, so records written in another style or column order compare equal; an absent
-    column is the same as an empty cell. ``stamp`` holds the text of a dtm that is no instant (``us`` is then null).
+    Line ends between an odd number of quotes and the next odd one are inside. A line whose quotes don't stand at field
+    borders, or aren't closed, is taken as it is.
+    """
+    lines = _LINE_END.split(content)
+    closes, after = [0] * len(lines), None
+    for k in range(len(lines) - 1, -1, -1):
+        odd = lines[k].count('"') % 2 == 1
+        closes[k] = after if odd else k
+        after = k if odd else after
+    out: list[list[str]] = []
+    at = 0
+    while at < len(lines):
+        end = closes[at]
+        text = "\n".join(lines[at : end + 1]) if end is not None else ""
+        if '"' in text and _QUOTED_LINE.fullmatch(text):
+            out.append(next(csv.reader([text], skipinitialspace=True)))
+        else:
+            end = at
+            out.append(lines[at].split(","))
+        at = end + 1
+    return out
+
+
+def _column_names(header: Column) -> Column:
+    """Names of a header's fields: lower case, without outer blanks, a repeated name or an empty one with its place."""
+    clean = F.transform(header, lambda x: F.lower(F.trim(x)))
+    named = F.transform(clean, lambda x, i: F.when((x == "") | (F.array_position(clean, x) != i + 1), F.concat(x, F.lit("#"), (i + 1).cast("string"))).otherwise(x))
+    return F.when(F.size(F.array_distinct(clean)) < F.size(clean), named).when(F.array_contains(clean, ""), named).otherwise(clean)
+
+
+def parse_fragments(fragments: DataFrame, quotes: bool = True) -> DataFrame:
+    """One row per record line: ``fragment_id, line_no, device, instrument, content_hash, us, stamp, cells, h1, h2``.
+
+    ``cells`` is the sorted array of (name, value, number) of all filled columns but dtm: column names in lower case
+    without outer blanks, numbers in one spelling, so records written in another style or column order compare equal; an
+    absent column is the same as an empty cell. Nothing that is filled is dropped: a name that stands twice, an empty name
+    and a cell beyond the header have their place in the name (``o3#4``, ``#4``), and digits beyond a double's precision
+    make a text. ``stamp`` holds the text of a dtm that is no instant (``us`` is then null). ``h1``, ``h2`` are two hashes
+    of the record. ``quotes``: whether any text may hold quotes, which are then read by :func:`quoted_rows`.
     """
-    lines = F.split(F.regexp_replace("content", "^\ufeff", ""), "\r\n|\n|\r")
-    base = fragments.select(F.col("fragment_id").cast("long"), F.col("device").cast("string"), F.xxhash64("content").alias("content_hash"), lines.alias("lines")).filter(F.size("lines") > 1)
-    base = base.withColumn("names", F.transform(F.split(F.element_at("lines", 1), ","), lambda x: F.lower(F.trim(x))))
-    rows = base.select("fragment_id", "device", "content_hash", "names", F.explode(F.slice("lines", 2, F.size("lines") - 1)).alias("line")).filter(F.trim("line") != "")
-    rows = rows.withColumn("parts", F.split("line", ",", -1))
+    content = F.regexp_replace("content", "^\ufeff", "")
+    base = fragments.select(F.col("fragment_id").cast("long"), F.col("device").cast("string"), F.col("instrument").cast("string"), F.xxhash64("content").alias("content_hash"), content.alias("content"))
+
+    def plain(df: DataFrame) -> DataFrame:
+        lines = df.withColumn("lines", F.split("content", "\r\n|\n|\r")).filter(F.size("lines") > 1)
+        lines = lines.withColumn("names", _column_names(F.split(F.element_at("lines", 1), ",")))
+        rows = lines.select("fragment_id", "device", "instrument", "content_hash", "names", F.posexplode("lines").alias("line_no", "line"))
+        return rows.filter((F.col("line_no") > 0) & (F.trim("line") != "")).select("fragment_id", "device", "instrument", "content_hash", "names", "line_no", F.split("line", ",", -1).alias("parts"))
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.drop(columns="content").assign(fields=[quoted_rows(t) for t in pdf["content"]])
+
+    def quoted(df: DataFrame) -> DataFrame:
+        read = df.mapInPandas(parse, "fragment_id long, device string, instrument string, content_hash long, fields array<array<string>>")
+        read = read.withColumn("names", _column_names(F.element_at("fields", 1)))
+        rows = read.select("fragment_id", "device", "instrument", "content_hash", "names", F.posexplode("fields").alias("line_no", "parts"))
+        return rows.filter((F.col("line_no") > 0) & F.exists("parts", lambda x: F.trim(x) != ""))
+
+    has_quote = F.contains("content", F.lit('"'))
+    rows = plain(base.filter(~has_quote)).unionByName(quoted(base.filter(has_quote))) if quotes else plain(base)
     at = F.array_position("names", "dtm").cast("int")
     stamp = F.when(at > 0, F.trim(F.get("parts", at - 1)))
 
-    def canonical(x: Column) -> Column:
-        number = F.trim(x).try_cast("double")
-        return F.when(number.isNotNull(), (number + F.lit(0.0)).cast("string")).otherwise(F.trim(x))
-
-    cells = F.filter(F.zip_with("names", "parts", lambda n, v: F.struct(n.alias("name"), canonical(v).alias("value"))), lambda c: c["name"].isNotNull() & (c["name"] != "dtm") & c["value"].isNotNull() & (c["value"] != "") & (c["value"] != "NaN"))
+    def cell(n: Column, v: Column, i: Column) -> Column:
+        text = F.trim(v)
+        number = text.rlike(r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d{1,3})?$")
+        # within 15 digits a double holds every digit; longer numbers stay texts without idle zeros
+        exact = number & ((F.length(text) <= 15) | (F.length(F.regexp_replace(text, r"^[+-]?[0.]*|[eE].*$|\.", "")) <= 15)) & (F.abs(text.try_cast("double")) < float("inf"))
+        long_one = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"^\+?(-?)0*(?=\d)", "$1"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+        value = F.when(exact, (text.try_cast("double") + F.lit(0.0)).cast("string")).when(number & ~F.contains(F.lower(text), F.lit("e")), long_one).otherwise(text)
+        return F.struct(F.coalesce(n, F.concat(F.lit("#"), (i + 1).cast("string"))).alias("name"), value.alias("value"), F.coalesce(exact, F.lit(False)).alias("number"))
+
+    places = F.sequence(F.lit(0), F.greatest(F.size("parts"), F.lit(1)) - 1)
+    cells = F.transform(places, lambda i: cell(F.get("names", i), F.get("parts", i), i))
+    cells = F.filter(cells, lambda c: (c["name"] != "dtm") & c["value"].isNotNull() & (c["value"] != "") & (F.lower(c["value"]) != "nan"))
     us = _instant_us(stamp)
-    return rows.select("fragment_id", "device", "content_hash", us.alias("us"), F.when(us.isNull(), F.coalesce(stamp, F.lit(""))).alias("stamp"), F.array_sort(cells).alias("cells"))
+    out = rows.select("fragment_id", "line_no", "device", "instrument", "content_hash", us.alias("us"), F.when(us.isNull(), F.coalesce(stamp, F.lit(""))).alias("stamp"), F.array_sort(cells).alias("cells"))
+    return out.withColumns(_record_hashes(F.col("us"), F.col("cells")))
+
+
+def _record_hashes(us: Column, cells: Column) -> dict[str, Column]:
+    """Two independent hashes of a record. Equal ones are one record: 128 bits don't collide by chance."""
+    pairs = F.transform(cells, lambda c: F.struct(c["name"], c["value"]))
+    known = F.coalesce("device", F.lit("")), F.col("device").isNull(), us, F.coalesce("stamp", F.lit("")), pairs
+    return {"h1": F.xxhash64(*known), "h2": F.xxhash64(F.lit("second"), *known)}
 
 
 def first_fit_decreasing(sizes: np.ndarray, capacity: float) -> np.ndarray:
@@ -79,41 +158,72 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: float) -> np.ndarray:
     return bins
 
 
-def plan_bins(manifest: DataFrame, target_bytes: int, block_files: int) -> DataFrame:
-    """``fragment_id, instrument, bin``: bins by first-fit decreasing within blocks of about ``block_files`` files of one instrument.
+def plan_bins(manifest: DataFrame, target_bytes: int, block_files: int = BLOCK_FILES) -> DataFrame:
+    """``fragment_id, bin``: bins by first-fit decreasing within blocks of one instrument's files.
 
-    An instrument with more files than that is split into blocks by a hash, so that no task holds an unbounded list.
+    A block holds about 64 bins' worth of bytes, so that few bins stay part-filled, and at most about ``block_files`` files, so
+    that no task holds an unbounded list. Bins are numbered from 0 over all blocks.
     """
     live = manifest.filter(F.col("n_new") > 0)
-    blocks = live.groupBy(F.col("instrument").alias("kind")).agg(F.ceil(F.count("*") / block_files).cast("int").alias("n_blocks"))
+    need = F.greatest(F.count("*") / block_files, F.sum("live_bytes") / (BLOCK_BINS * target_bytes))
+    blocks = live.groupBy(F.col("instrument").alias("kind")).agg(F.greatest(F.lit(1), F.ceil(need)).cast("int").alias("n_blocks"))
     keyed = live.join(blocks, F.col("instrument").eqNullSafe(F.col("kind"))).select("instrument", "fragment_id", "live_bytes", F.pmod(F.xxhash64("fragment_id"), "n_blocks").cast("int").alias("block"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("fragment_id")
-        b = first_fit_decreasing(pdf["live_bytes"].to_numpy(float), target_bytes)
-        name = pdf["instrument"].fillna("none").astype(str) + "-" + pdf["block"].astype(str) + "-" + b.astype(str)
-        return pd.DataFrame({"fragment_id": pdf["fragment_id"], "instrument": pdf["instrument"], "bin": name})
+        return pd.DataFrame({"fragment_id": pdf["fragment_id"], "instrument": pdf["instrument"], "block": pdf["block"], "local": first_fit_decreasing(pdf["live_bytes"].to_numpy(float), target_bytes)})
 
-    return keyed.groupBy("instrument", "block").applyInPandas(pack, "fragment_id long, instrument string, bin string")
+    return keyed.groupBy("instrument", "block").applyInPandas(pack, "fragment_id long, instrument string, block int, local int")
 
 
-def compact(fragments: DataFrame, target: str | None = None, target_bytes: int = 128 << 20, block_files: int = 20_000) -> Compacted:
+def _numbered(packed: DataFrame) -> tuple[DataFrame, int]:
+    """Bins of all blocks numbered from 0; there are a few bins per block, and a block is 8 GB, so the list of blocks is short."""
+    spark = packed.sparkSession
+    counts = packed.groupBy("instrument", "block").agg((F.max("local") + 1).alias("n")).collect()
+    rows, first = [], 0
+    for r in sorted(counts, key=lambda r: (r["instrument"] or "", r["instrument"] is None, r["block"])):
+        rows.append((r["instrument"], r["block"], first))
+        first += r["n"]
+    offsets = spark.createDataFrame(rows, "kind string, part int, first int")
+    joined = packed.join(offsets, F.col("instrument").eqNullSafe(F.col("kind")) & (F.col("block") == F.col("part")))
+    return joined.select("fragment_id", (F.col("first") + F.col("local")).alias("bin")), first
+
+
+def differing_bins(expected: DataFrame, data: DataFrame, names: list[str]) -> tuple[int, int]:
+    """How many bins of the written ``data`` differ from ``expected`` (``bin, n, x``), and how many records were read back."""
+    typed = [F.when(F.col(f"cells.`{n}`").isNotNull(), F.struct(F.lit(n).alias("name"), F.col(f"cells.`{n}`").cast("string").alias("value"), F.lit(True).alias("number"))) for n in names]
+    rest = F.transform(F.map_entries("rest"), lambda e: F.struct(e["key"].alias("name"), e["value"].alias("value"), F.lit(True).alias("number")))
+    cells = F.array_sort(F.concat(F.filter(F.array(*typed), lambda c: c.isNotNull()), rest)) if typed else F.array_sort(rest)
+    back = data.select("bin", _record_hashes(F.unix_micros("dtm"), cells)["h1"].alias("h1"))
+    seen = back.groupBy(F.col("bin").alias("b")).agg(F.count("*").alias("n2"), F.bit_xor("h1").alias("x2"))
+    wrong = ~(F.col("n").eqNullSafe(F.col("n2")) & F.col("x").eqNullSafe(F.col("x2")))
+    verdict = expected.join(seen, F.col("bin") == F.col("b"), "full").agg(F.count_if(wrong).alias("bad"), F.coalesce(F.sum("n2"), F.lit(0)).alias("n")).first()
+    return verdict["bad"], verdict["n"]
+
+
+def compact(fragments: DataFrame, target: str | None = None, target_bytes: int = TARGET_BYTES, block_files: int = BLOCK_FILES) -> Compacted:
     """Write every distinct record of ``fragments`` exactly once into few files and commit them.
 
     fragments: ``fragment_id`` (unique, order of arrival), ``device``, ``instrument``, ``path``, ``n_bytes``, ``content``;
     other columns are ignored. Two records are the same if device, instant and each named column agree; the record stays
     with the smallest fragment_id. Null or empty content, a header without records and blank lines give no record; a line
-    whose dtm isn't an instant is kept under its text; null devices form one group. An empty table commits no file and an
-    empty manifest. The committed manifest has, per fragment, ``n_records`` and ``n_new`` (records that no fragment of the
-    device with a smaller id holds).
+    whose dtm isn't an instant is kept under its text; null devices form one group; surplus cells, repeated and empty
+    column names and quoted fields are kept (:func:`parse_fragments`). An empty table commits an empty table and an
+    empty manifest. The committed manifest has, per fragment, ``n_records``, ``n_new`` (records that no fragment of the device with
+    a smaller id holds) and its ``bin``.
 
-    Steps: (1) the manifest (id, path, size, checksum) is frozen as a written table; what is read must have its checksums;
-    (2) bins by first-fit decreasing on the bytes that survive; (3) one file per bin; (4) counts and order-free checksums
-    of the written files are held against those of the source; (5) one rename commits data and manifest together, else
-    the staging folder is removed and nothing changes.
+    Data: ``bin, device, instrument, dtm, stamp, cells, rest``. ``cells`` is a struct with a field per column name, double
+    where all its entries are numbers, else string; names beyond the 400 most frequent are in the map ``rest``.
 
-    Scale: records shuffle once by their own key with partial aggregation, so a device with a third of all files is
-    spread over all tasks; bins are bounded by ``target_bytes``, blocks by ``block_files``.
+    Steps: (1) the manifest (id, path, size, checksum) is frozen as a written table; what is read must have its checksums;
+    (2) bins by first-fit decreasing on the bytes that survive, as they are in zstd Parquet (measured on the parsed
+    records); (3) one file per bin; (4) counts and order-free checksums of the written files are held against those of the
+    source; (5) one rename commits data and manifest together, else the staging folder is removed and nothing changes. On
+    an object store a rename copies and is not atomic; there, commit to a file system that renames, or by a pointer.
+
+    Scale: record hashes, 32 bytes each, shuffle with partial aggregation, so a device with a third of all files is spread
+    over all tasks; whole records shuffle twice, to their verdict and to their bin. A bin is bounded by ``target_bytes``, a
+    block of the packing by its bytes and ``block_files``; over 100 000 bins the files get larger instead.
     """
     spark = fragments.sparkSession
     target = target or scratch_path(spark, "harvest")
@@ -123,50 +233,60 @@ def compact(fragments: DataFrame, target: str | None = None, target_bytes: int =
     if fs.exists(final):
         raise FileExistsError(target)
     size = F.coalesce(F.col("n_bytes").cast("long"), F.octet_length("content").cast("long"), F.lit(0).cast("long"))
-    frozen = materialize(fragments.select(F.col("fragment_id").cast("long"), F.col("path").cast("string"), F.col("device").cast("string"), F.col("instrument").cast("string"), size.alias("n_bytes"), F.xxhash64("content").alias("content_hash")), "manifest")
-    parsed = materialize(parse_fragments(fragments), "records")
-
-    key = ["device", "us", "stamp", "cells"]
-    distinct = parsed.groupBy(*key).agg(F.min("fragment_id").alias("fragment_id"))
-    distinct = materialize(distinct, "distinct")
-    n_records = parsed.groupBy("fragment_id").agg(F.count("*").alias("n_records"), F.first("content_hash").alias("read_hash"))
-    n_new = distinct.groupBy("fragment_id").agg(F.count("*").alias("n_new"))
-    zero = F.lit(0).cast("long")
-    # what was read must be what the manifest froze; a file that came later isn't in a bin and is left out
-    changed = F.col("read_hash").isNotNull() & (F.col("read_hash") != F.col("content_hash"))
-    read = frozen.join(n_records, "fragment_id", "left").withColumn("content_hash", F.when(changed, F.raise_error(F.concat(F.lit("changed since the manifest: "), F.col("path"))).cast("long")).otherwise(F.col("content_hash"))).drop("read_hash")
-    manifest = (
-        read.join(n_new, "fragment_id", "left")
-        .withColumns({"n_records": F.coalesce("n_records", zero), "n_new": F.coalesce("n_new", zero)})
-        .withColumn("live_bytes", F.when(F.col("n_records") > 0, F.col("n_bytes") * F.col("n_new") / F.col("n_records")).otherwise(F.lit(0.0)))
-    )
-    manifest = materialize(manifest, "manifest-counts")
-    bins = materialize(plan_bins(manifest, target_bytes, block_files), "bins")
-
-    check = F.xxhash64("device", "us", "stamp", "cells")
-    placed = distinct.join(bins, "fragment_id")
-    out = placed.select("bin", "device", "instrument", F.timestamp_micros("us").alias("dtm"), "stamp", F.map_from_entries("cells").alias("cells"), check.alias("row_hash"))
-    total = manifest.agg(F.count("*").alias("files"), F.coalesce(F.sum("n_new"), zero).alias("records"), F.coalesce(F.sum("live_bytes"), F.lit(0.0)).alias("bytes")).first()
-    n_tasks = max(1, min(10_000, int(total["bytes"] // target_bytes) + 1))
+    frozen, frozen_path = write_scratch(fragments.select(F.col("fragment_id").cast("long"), F.col("path").cast("string"), F.col("device").cast("string"), F.col("instrument").cast("string"), size.alias("n_bytes"), F.xxhash64("content").alias("content_hash"), F.contains("content", F.lit('"')).alias("quoted")), "manifest")
+    parsed, parsed_path = write_scratch(parse_fragments(fragments, quotes=bool(frozen.filter("quoted").head(1))), "records")
+    scratch = [frozen_path, parsed_path]
     try:
-        out.repartition(n_tasks, "bin").sortWithinPartitions("bin", "device", "dtm").write.partitionBy("bin").option("compression", "zstd").parquet(f"{staging}/data")
-        manifest.join(bins.drop("instrument"), "fragment_id", "left").write.parquet(f"{staging}/manifest")
-        expected = placed.groupBy("bin").agg(F.count("*").alias("n"), F.bit_xor(check).alias("x"))
-        seen, n_bins = None, 0
+        firsts = parsed.groupBy("h1", "h2").agg(F.min(F.struct("fragment_id", "line_no")).alias("at")).select("h1", "at.*")
+        firsts, path = write_scratch(firsts, "firsts")
+        scratch.append(path)
+        # one shuffle brings a file's manifest row, its records and its first records together
+        long, text = F.lit(None).cast("long"), F.lit(None).cast("string")
+        parts = frozen.select("fragment_id", "path", "device", "instrument", "n_bytes", "content_hash", long.alias("read_hash"), F.lit(0).alias("r"), F.lit(0).alias("w"), F.lit(1).alias("f"))
+        empty = [text.alias("path"), text.alias("device"), text.alias("instrument"), long.alias("n_bytes"), long.alias("content_hash")]
+        parts = parts.union(parsed.select("fragment_id", *empty, F.col("content_hash").alias("read_hash"), F.lit(1), F.lit(0), F.lit(0))).union(firsts.select("fragment_id", *empty, long, F.lit(0), F.lit(1), F.lit(0)))
+        manifest = parts.groupBy("fragment_id").agg(*[F.max(c).alias(c) for c in ("path", "device", "instrument", "n_bytes", "content_hash", "read_hash", "f")], F.sum("r").alias("n_records"), F.sum("w").alias("n_new"))
+        # what was read must be what the manifest froze
+        changed = (F.col("f") == 0) | (F.col("read_hash").isNotNull() & ~F.col("read_hash").eqNullSafe(F.col("content_hash")))
+        manifest = manifest.withColumn("content_hash", F.when(changed, F.raise_error(F.concat(F.lit("changed since the manifest: "), F.coalesce("path", F.col("fragment_id").cast("string")))).cast("long")).otherwise(F.col("content_hash")))
+        # a csv byte's share of the parsed table tells what it takes in Parquet
+        written = fs.getContentSummary(filesystem(spark, parsed_path)[1]).getLength()
+        csv_bytes = frozen.agg(F.sum("n_bytes").alias("b")).first()["b"] or 0
+        ratio = min(1.0, written / csv_bytes) if csv_bytes else 1.0
+        live = F.when(F.col("n_records") > 0, F.col("n_bytes") * F.col("n_new") / F.col("n_records") * F.lit(ratio)).otherwise(F.lit(0.0))
+        manifest, path = write_scratch(manifest.drop("read_hash", "f").withColumn("live_bytes", live), "manifest-counts")
+        scratch.append(path)
+        total = manifest.agg(F.count("*").alias("files"), F.coalesce(F.sum("n_new"), F.lit(0)).alias("records"), F.coalesce(F.sum("live_bytes"), F.lit(0.0)).alias("bytes")).first()
+        packed, path = write_scratch(plan_bins(manifest, max(target_bytes, int(total["bytes"] / MOST_BINS)), block_files), "bins")
+        scratch.append(path)
+        bins, n_bins = _numbered(packed)
+
+        shapes = parsed.select(F.transform("cells", lambda c: F.struct(c["name"].alias("name"), c["number"].alias("number"))).alias("s")).groupBy("s").count()
+        kinds = shapes.select(F.explode("s").alias("c"), "count").groupBy("c.name").agg(F.min("c.number").alias("number"), F.sum("count").alias("n")).orderBy(F.desc("n"), "name").limit(COLUMNS).collect()
+        names = sorted(r["name"] for r in kinds)
+        numeric = {r["name"] for r in kinds if r["number"]}
+        held = F.map_from_entries(F.transform("cells", lambda c: F.struct(c["name"], c["value"])))
+        typed = F.struct(*[F.element_at("held", F.lit(n)).cast("double" if n in numeric else "string").alias(n) for n in names]) if names else F.struct(F.lit(None).cast("string").alias("none"))
+        placed = firsts.join(bins, "fragment_id").select("fragment_id", "line_no", "bin", "h1")
+        kept = parsed.drop("h1", "h2", "content_hash").join(placed, ["fragment_id", "line_no"])
+        rest = F.map_filter("held", lambda k, v: ~k.isin(names)) if names else F.col("held")
+        out = kept.withColumn("held", held).select("bin", "device", "instrument", F.timestamp_micros("us").alias("dtm"), "stamp", typed.alias("cells"), rest.alias("rest"))
+        if n_bins:
+            out = out.repartitionById(n_bins, "bin").sortWithinPartitions("device", "dtm")
+        out.write.option("compression", "zstd").parquet(f"{staging}/data")
+        manifest.join(bins, "fragment_id", "left").write.parquet(f"{staging}/manifest")
         if total["records"]:
-            back = spark.read.parquet(f"{staging}/data").withColumn("bin", F.col("bin").cast("string"))
-            cells = F.array_sort(F.transform(F.map_entries("cells"), lambda e: F.struct(e["key"].alias("name"), e["value"].alias("value"))))
-            again = F.xxhash64("device", F.unix_micros("dtm"), "stamp", cells)
-            seen = back.groupBy("bin").agg(F.count("*").alias("n2"), F.bit_xor(again).alias("x2"))
-            verdict = expected.join(seen, "bin", "full").agg(F.count_if(~(F.col("n").eqNullSafe(F.col("n2")) & F.col("x").eqNullSafe(F.col("x2")))).alias("bad"), F.count("*").alias("bins"), F.coalesce(F.sum("n2"), zero).alias("n")).first()
-            n_bins = verdict["bins"]
-            if verdict["bad"] or verdict["n"] != total["records"]:
-                raise ValueError(f"{verdict['bad']} bins differ from the manifest; {verdict['n']} of {total['records']} records written")
+            expected = placed.groupBy("bin").agg(F.count("*").alias("n"), F.bit_xor("h1").alias("x"))
+            bad, n = differing_bins(expected, spark.read.parquet(f"{staging}/data"), names)
+            if bad or n != total["records"]:
+                raise ValueError(f"{bad} bins differ from the manifest; {n} of {total['records']} records written")
         if not fs.rename(stage_path, final):
             raise OSError(f"{staging} can't be renamed to {target}")
     except BaseException:
         fs.delete(stage_path, True)
         raise
+    finally:
+        discard(spark, *scratch)
     return Compacted(target, total["files"], total["records"], n_bins)
 
 

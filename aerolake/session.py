@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _SCRATCH: dict[str, str] = {}
+_FOLDERS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
 
@@ -37,7 +38,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where neither the setting nor a checkpoint folder is set (as in tests) a local temporary folder is used.
+    Only where neither the setting nor a checkpoint folder is set and the master is local (as in tests) a local temporary
+    folder is used; on a cluster that is an error, since each machine would write into a folder of its own.
     """
     set_dir = spark.conf.get("spark.checkpoint.dir", None)
     if set_dir:
@@ -47,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
         return str(jsc_dir.get()).rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _SCRATCH:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         _SCRATCH[app] = tempfile.mkdtemp(prefix="aerolake-")
         atexit.register(shutil.rmtree, _SCRATCH[app], ignore_errors=True)
         spark.sparkContext.setCheckpointDir("file://" + _SCRATCH[app])
@@ -54,8 +58,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/aerolake/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; what is written there is deleted when the application ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        _FOLDERS[app] = f"{shared_dir(spark)}/aerolake/{app}-{uuid.uuid4().hex}"
+        fs, folder = filesystem(spark, _FOLDERS[app])
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+    return f"{_FOLDERS[app]}/{name}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for p in paths:
+        fs, hpath = filesystem(spark, p)
+        fs.delete(hpath, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -63,9 +80,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     The table survives the loss of an executor, unlike a local checkpoint, and later stages read only the columns they need.
     """
+    return write_scratch(df, name)[0]
+
+
+def write_scratch(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As :func:`materialize`, with the path, for callers that :func:`discard` it when they are done."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def ship_package(spark: SparkSession) -> None:

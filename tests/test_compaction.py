@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from aerolake.operators.compaction import compact, first_fit_decreasing, redundant_fragments
-from aerolake.session import scratch_path
+from aerolake.session import filesystem, scratch_path
 
 SCHEMA = "fragment_id long, path string, device string, instrument string, modified_at timestamp, n_bytes int, content string, bin string, cells string"
 
@@ -29,7 +29,7 @@ def test_every_record_once(spark):
     done = compact(frame(spark, ROWS), target_bytes=40)
     records = done.records(spark).collect()
     assert done.n_records == len(records) == 6
-    keys = [(r.device, r.dtm, r.stamp, tuple(sorted(r.cells.items()))) for r in records]
+    keys = [(r.device, r.dtm, r.stamp, str(r.cells), str(r.rest)) for r in records]
     assert len(set(keys)) == len(keys)
     manifest = {r.fragment_id: r for r in done.manifest(spark).collect()}
     assert {i: (m.n_records, m.n_new) for i, m in manifest.items()} == {1: (2, 2), 2: (1, 0), 3: (2, 1), 4: (1, 1), 5: (0, 0), 6: (0, 0), 7: (0, 0), 8: (2, 1), 9: (1, 1), 10: (1, 0)}
@@ -50,6 +50,58 @@ def test_commit_is_all_or_nothing(spark):
         compact(frame(spark, ROWS), target)
 
 
+def test_nothing_filled_is_dropped(spark):
+    rows = [
+        (1, "a", "dtm,o3\n2008-01-01 00:00:00,1,7\n"),
+        (2, "a", "dtm,o3\n2008-01-01 00:00:00,1,8\n"),  # differs beyond the header's names
+        (3, "a", 'dtm,note,o3\n2008-01-01 00:00:00,"a,b",1\n2008-01-01 00:01:00,"say ""x""\nagain",1\n2008-01-01 00:02:00,5" tube,1\n'),
+        (4, "a", 'o3,dtm,note\n1.0,2008-01-01 00:00:00,"a,b"\n'),  # the first record of 3 in another order
+        (5, "a", "dtm,o3,o3,\n2008-01-01 00:00:00,1,2,3\n"),  # a name twice, an empty name
+        (6, "a", "dtm,o3,o3,\n2008-01-01 00:00:00,1,2,4\n"),
+        (7, "a", "dtm,code\n2008-01-01 00:00:00,9007199254740992\n2008-01-01 00:00:00,9007199254740993\n2008-01-01 00:00:00,7d\n2008-01-01 00:00:00,7\n"),
+        (8, "a", "dtm,code\n2008-01-01 00:00:00,+09007199254740992.0\n2008-01-01 00:00:00,7.00\n"),
+        (9, "a", 'dtm,note\n2008-01-01 00:05:00,"open\n2008-01-01 00:06:00,x\n'),  # a quote that isn't closed takes no line with it
+    ]
+    done = compact(frame(spark, rows))
+    assert {r.fragment_id for r in done.manifest(spark).filter("n_new = 0").collect()} == {4, 8}
+    records = done.records(spark).collect()
+    assert len(records) == done.n_records == 13
+    notes = {r.cells["note"] for r in records}
+    assert {"a,b", 'say "x"\nagain', '5" tube', '"open', "x"} <= notes
+    assert {r.cells["#3"] for r in records} >= {7.0, 8.0} and {r.cells["o3#3"] for r in records} == {None, 2.0}
+    assert {r.cells["code"] for r in records} >= {"9007199254740992", "9007199254740993", "7d", "7.0"}
+
+
+def test_rare_names_stay_in_the_map(spark, monkeypatch):
+    monkeypatch.setattr("aerolake.operators.compaction.COLUMNS", 1)
+    done = compact(frame(spark, [(1, "a", "dtm,o3\n2008-01-01 00:00:00,1\n"), (2, "a", "dtm,o3,x y\n2008-01-01 00:01:00,1,q\n")]))
+    assert sorted((r.cells["o3"], str(r.rest)) for r in done.records(spark).collect()) == [(1.0, "{'x y': 'q'}"), (1.0, "{}")]
+
+
+def test_a_damaged_bin_is_found_and_nothing_is_committed(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from aerolake.operators import compaction
+
+    target = scratch_path(spark, "damaged")
+    honest = compaction.differing_bins
+
+    def damaged(expected, data, names):
+        one = data.withColumn("cells", F.col("cells").withField("o3", F.when(F.col("cells.o3") == 9, 8.0).otherwise(F.col("cells.o3"))))
+        bad, n = honest(expected, one, names)
+        assert (bad, n) == (1, 6)
+        assert honest(expected, data.filter("device is not null"), names) == (1, 5)
+        assert honest(expected, data, names) == (0, 6)
+        return bad, n
+
+    monkeypatch.setattr(compaction, "differing_bins", damaged)
+    with pytest.raises(ValueError, match="1 bins differ"):
+        compact(frame(spark, ROWS), target)
+    for path in (target, f"{target}.staging"):
+        fs, hpath = filesystem(spark, path)
+        assert not fs.exists(hpath)
+
+
 def test_first_fit_decreasing():
     sizes = np.array([5, 4, 3, 3, 2, 2, 1, 12.0])
     bins = first_fit_decreasing(sizes, 10)
