@@ -1,8 +1,10 @@
+import math
 import random
 
+import numpy as np
 import pytest
 
-from aerolake.llm.truncation import ending, judge, length_hazards, truncated, truncation_rates
+from aerolake.llm.truncation import binomial_tail, ending, judge, length_hazards, number_contexts, segment_prefixes, truncated, truncation_rates
 
 SCHEMA = "doc_id long, text string, source string, n_chars int, ending string, length int"
 
@@ -18,7 +20,7 @@ def frame(spark, rows):
         ("The flag was set to 3.", "stopped"), ("The pump was", "open"), ("a b,", "open"), ("within 5 %", "open"), ("Done. 👍", "symbol"),
         ("x.\n| 09:35 | 21.8 | 1 |", "row"), ("x.\n| 09:35 | 21", "open"), ("x.\n16:30,53.80,38.69", "row"), ("x.\no3 = 81.2 ppb", "listing"),
         ("x.\n    pump = 'B'", "listing"), ("[2008-01-01 00:16:18] INFO logger.core: flushed 9573 rows", "listing"), ("Kind regards\nthe lamp team", "signed"),
-        ("All fine. -- logged 13:00 UTC", "signed"), ("x.\nFiled by shift 5", "signed"), ("x.\nNext check: 11:30", "signed"), ("the pump was […]", "marked"),
+        ("All fine. -- logged 13:00 UTC", "signed"), ("x.\nFiled by shift 5", "open"), ("the pump was […]", "marked"),
         ("the pump was...", "marked"), ("the pump ran. […]", "terminal"), ("x.\nNotes continue in ticket 7…", "trailing"),
     ],
 )
@@ -91,3 +93,45 @@ def test_copies_are_one_text_of_evidence(spark):
     decimals = [(200 + i, "s", "The flag was set to 3.5 again.") for i in range(20)]  # one text with a decimal
     whole = [(300 + i, "s", f"Now set to {i}. It held {'y' * i}.") for i in range(3)] + [(400, "s", "The flag was set to 3.")]
     assert truncated(frame(spark, closer + goes_on + decimals + whole)).count() == 0
+
+
+def test_binomial_tail_is_exact():
+    exact = lambda k, n, p: sum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k, n + 1))
+    cases = [(k, n, p) for n in (1, 5, 40, 200) for k in (0, 1, n // 2, n) for p in (0.0, 1e-4, 0.03, 0.5, 0.97, 1.0)]
+    got = binomial_tail(*(np.array(c) for c in zip(*cases, strict=True)))
+    assert np.allclose(got, [exact(*c) for c in cases], rtol=1e-9, atol=1e-300)
+    # far more endings than any number of terms, at and under the usual hazard
+    big = binomial_tail(np.array([4500, 5000, 995_000, 1_002_000]), np.array([10**6, 10**6, 10**9, 10**9]), np.array([0.005, 0.005, 0.001, 0.001]))
+    assert big[0] > 1 - 1e-9 and 0.49 < big[1] < 0.52 and big[2] > 1 - 1e-6 and 0.02 < big[3] < 0.03
+
+
+def test_long_lengths_with_few_endings_are_no_limit(spark):
+    # a hazard of 2 % at every length from 40, but for one length with few endings and one with many
+    rows, i, at_risk = [], 0, 6000
+    for length in range(40, 220):
+        n = round(at_risk * {60: 0.002, 80: 0.08}.get(length, 0.02))
+        at_risk -= n
+        for _ in range(n):
+            rows.append((i, "s", f"{i:06d} " + "x" * (length - 8) + "."))
+            i += 1
+    got = {r.length: r for r in length_hazards(frame(spark, rows)).filter("unit = 'chars'").collect()}
+    assert [n for n, r in sorted(got.items()) if r.limit] == [80] and got[60].p_value > 0.99
+    assert got[40].at_risk == i and abs(got[80].hazard - 0.08) < 0.01 and abs(got[80].usual - 0.02) < 0.005
+
+
+def test_a_tail_that_a_limit_makes_is_no_closer(spark):
+    # many distinct texts cut at 59 characters within the same boilerplate, which never goes on elsewhere
+    rows = [(i, "form", f"Text {i:05d} was sent from the mast today.\nAll data are provi") for i in range(60)]
+    rows += [(100 + i, "form", f"Text {'y' * i} ends by itself.") for i in range(200)]
+    assert len(rows[0][2]) == 59
+    got = {r.doc_id: r for r in judge(frame(spark, rows)).collect()}
+    assert all(got[i].cut and got[i].cut_by == "limit" for i in range(60)) and not any(got[100 + i].cut for i in range(200))
+
+
+def test_segments_and_numbers():
+    h, owner, start, char, last = segment_prefixes(["Set to 12.  It ran", "", " \n", "x.\nIt ran off", "Set  to 7"])
+    end = {k: h[p] for k, p in enumerate(last) if p >= 0}
+    assert sorted(end) == [0, 3, 4] and end[0] != end[3]
+    assert end[0] in h[owner == 3] and end[4] in h[owner == 0]  # begun alike, whatever the blanks and digits
+    stop, on = number_contexts("The flag was set to 3. It was set to 3.5 and set to 4. Set to 5.")
+    assert stop == {"set to": 2} and on == {"set to": 1}
