@@ -16,6 +16,10 @@ def p2_conflicts(spark: SparkSession, d: str) -> DataFrame:
     return consensus.conflicting_columns(table(spark, d, "level1_rows"), table(spark, d, "origins"))
 
 
+def p2_votes(spark: SparkSession, d: str) -> DataFrame:
+    return consensus.consensus_entries(table(spark, d, "level1_rows"), table(spark, d, "origins"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoding.encode_documents(table(spark, d, "documents"))
 
@@ -36,16 +40,16 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncation_rates(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_conflicts, p8_ids, p9_found, p9_covered, p10_found, p10_rates)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_conflicts, p2_votes, p8_ids, p9_found, p9_covered, p10_found, p10_rates)}
 
 _GROUPS = r"""
     WITH rows AS (
         SELECT regexp_replace(lower(source), '[^\p{L}\p{N}]', '', 'g') AS g, date_trunc('second', "timestamp") AS s, row_id, l.origin,
                coalesce(trust_rank, 2147483647) AS trust, received_at,
-               CASE WHEN value IS NOT NULL AND NOT isnan(value) AND NOT regexp_matches(replace(rtrim(rtrim(abs(value)::DECIMAL(38, 6)::VARCHAR, '0'), '.'), '.', ''), '^9{3,}$') THEN value::VARCHAR END AS v1,
-               CASE WHEN aux IS NOT NULL AND NOT isnan(aux) AND NOT regexp_matches(replace(rtrim(rtrim(abs(aux)::DECIMAL(38, 6)::VARCHAR, '0'), '.'), '.', ''), '^9{3,}$') THEN aux::VARCHAR END AS v2,
+               CASE WHEN value IS NOT NULL AND NOT isnan(value) AND NOT regexp_matches(abs(value)::DECIMAL(38, 6)::VARCHAR, '^9{3,}[.]9*0*$') THEN value::VARCHAR END AS v1,
+               CASE WHEN aux IS NOT NULL AND NOT isnan(aux) AND NOT regexp_matches(abs(aux)::DECIMAL(38, 6)::VARCHAR, '^9{3,}[.]9*0*$') THEN aux::VARCHAR END AS v2,
                CASE WHEN NOT regexp_matches(abs(flag)::VARCHAR, '^9{3,}$') THEN flag::VARCHAR END AS v3,
-               CASE WHEN lower(trim(note)) NOT IN ('', '-', '--', '?', '.', 'none', 'null', 'nan', 'na', 'n/a', 'n.a.', 'nil', 'missing', 'unknown') THEN note END AS v4
+               CASE WHEN lower(regexp_replace(note, '^\s+|\s+$', '', 'g')) NOT IN ('', '-', '--', '?', '.', 'none', 'null', 'nan', 'na', 'n/a', 'n.a.', 'nil', 'missing', 'unknown') THEN note END AS v4
         FROM level1_rows l LEFT JOIN origins o ON l.origin = o.origin WHERE "timestamp" IS NOT NULL AND source IS NOT NULL),
     cells AS (
         SELECT g, s, row_id, trust, received_at, unnest(['value', 'aux', 'flag', 'note']) AS column_name, unnest([v1, v2, v3, v4]) AS entry FROM rows)
