@@ -15,13 +15,12 @@ from pyspark.sql import functions as F
 from aerolake.functions.frames import typed_frame
 from aerolake.operators.units import harmonize
 
-WINDOW = 24  # lags of the embedding
+WINDOW = 24  # lags of the embedding; half the series where that is shorter
 RANK = 4  # singular vectors kept
-ROUNDS = 30  # at most; the change under TOLERANCE of the scatter ends earlier
-TOLERANCE = 1e-3
+TOLERANCE = 1e-3  # of the scatter: the replacements have settled when none changes by more
+ROUNDS = 1000  # at most; the steps shrink every round, but may shrink slowly in a gap far longer than the window
 SLOTS = 4096  # slots of a chunk
 HALO = 1024  # slots on either side that a chunk is imputed with
-LEAST = 48  # known slots a chunk and its halo need for imputation
 
 GRID = "device string, slot_epoch long, cadence_s int, n long, value double, missing boolean, filled boolean"
 
@@ -29,31 +28,35 @@ GRID = "device string, slot_epoch long, cadence_s int, n long, value double, mis
 def ssa_impute(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The series with its NaN entries imputed, and which entries were.
 
-    With fewer than LEAST known entries nothing is filled. Stretches before the first and behind the last known entry
-    start from that entry's value.
+    Without a known entry nothing is filled; a single one, or a level that never varies, is carried on. Stretches before the
+    first and behind the last known entry start from that entry's value. Each round can only lower the squared distance
+    between the series and its projection, so the replacements settle: rounds end when none changes by more than TOLERANCE of
+    the scatter, or after ROUNDS, with what they have come to.
+
+    The projection of the trajectories and the average along their anti-diagonals are filters with the leading vectors, and
+    the trajectories' Gram matrix follows from its first row, so no trajectory is stored.
     """
     gaps = np.isnan(x)
     known = np.flatnonzero(~gaps)
-    if not gaps.any() or len(known) < LEAST or len(x) <= 2 * WINDOW:
+    if not gaps.any() or not len(known):
         return x, np.zeros(len(x), bool)
     y = np.interp(np.arange(len(x)), known, x[known])
     level, spread = x[known].mean(), x[known].std()
-    if spread == 0:
+    window = min(WINDOW, len(x) // 2)
+    rank = min(RANK, window // 2)
+    if spread == 0 or rank == 0:
         return y, gaps
     z = (y - level) / spread
-    count = np.minimum(np.minimum(np.arange(1, len(z) + 1), np.arange(len(z), 0, -1)), min(WINDOW, len(z) - WINDOW + 1)).astype(float)
-    rows = len(z) - WINDOW + 1
+    rows = len(z) - window + 1
+    count = np.minimum(np.minimum(np.arange(1, len(z) + 1), np.arange(len(z), 0, -1)), min(window, rows)).astype(float)
+    gram = np.zeros((window, window))
     for _ in range(ROUNDS):
-        hankel = np.lib.stride_tricks.sliding_window_view(z, WINDOW)
-        _, vectors = np.linalg.eigh(hankel.T @ hankel)
-        lead = vectors[:, -RANK:]
-        smooth = (hankel @ lead) @ lead.T
-        total = np.zeros(len(z))
-        for lag in range(WINDOW):
-            total[lag : lag + rows] += smooth[:, lag]
-        new = (total / count)[gaps]
+        gram[0] = [z[:rows] @ z[lag : lag + rows] for lag in range(window)]
+        for i in range(1, window):
+            gram[i, i:] = gram[i - 1, i - 1 : -1] - z[i - 1] * z[i - 1 : window - 1] + z[rows + i - 1] * z[rows + i - 1 : rows + window - 1]
+        _, vectors = np.linalg.eigh(gram, UPLO="U")
+        new = sum(np.convolve(np.correlate(z, v), v) for v in vectors[:, -rank:].T)[gaps] / count[gaps]
         change = np.abs(new - z[gaps]).max()
-        z = z.copy()
         z[gaps] = new
         if change < TOLERANCE:
             break
@@ -70,7 +73,7 @@ def regularize(readings: DataFrame, devices: DataFrame) -> DataFrame:
 
     Repeated readings of a slot count once each in the mean; rows without a time or a device, and devices without a
     positive cadence, have no series; two rows of one device in ``devices`` with different cadences use the smallest; a
-    device with one reading has one slot; a stretch with too few readings around it stays missing and unfilled; an empty
+    device with one reading has one slot; a chunk with no reading within its halo stays missing and unfilled; an empty
     table gives an empty one; NaN is no value.
 
     Scale: readings are aggregated to slots before anything else, with partial aggregation; a series is cut into chunks

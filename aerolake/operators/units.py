@@ -155,6 +155,7 @@ def unit_in_remark(text: str, dims: tuple[int, ...]) -> Unit | None:
     return got[0] if got else None
 
 
+@lru_cache(100_000)
 def parse_quantity(text: str, dims: tuple[int, ...]) -> tuple[float | None, Unit | None]:
     """Number and unit of a text such as ``12.5 ug/m3``, ``[ng/m3] 80`` or ``ca. 7,5 mg m-3``."""
     got = _find(text, dims, bare=False)
@@ -201,11 +202,13 @@ def harmonize(readings: DataFrame, quantities: tuple[Quantity, ...] = PARTICLE_Q
     the candidate is chosen whose logarithm lies nearest to the median of the source's readings with a stated unit, else
     of all readings of the quantity with one (``inferred``), ties and zero readings going to the common unit.
 
+    A unit's scale and offset to SI both count, so 20 degC are 293.15 K.
+
     Null and NaN readings without a readable text give no row (with ``keep_unreadable``, a text that holds no number gives
     a row with null values), nor does a row of an unknown instrument without a number in
     any of the columns; repeated rows are converted each; null sources form one source; an empty table gives an empty one.
 
-    Scale: texts are parsed once, by distinct spelling (Arrow), into a table in the shared folder; one aggregation to a median per source with
+    Scale: texts are parsed once per distinct spelling and worker (Arrow batches, a memory of 100 000 spellings), into a table in the shared folder; one aggregation to a median per source with
     map-side sketches; the medians (a row per source) are joined back, which AQE broadcasts only while they are small.
     """
     by_name = {q.column: q for q in quantities}
@@ -216,7 +219,7 @@ def harmonize(readings: DataFrame, quantities: tuple[Quantity, ...] = PARTICLE_Q
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            codes, origins, numbers, scales = [], [], [], []
+            codes, origins, numbers, scales, shifts = [], [], [], [], []
             for q, n, text, spoken, unit, note in zip(pdf["quantity"], pdf["number"], pdf["value_text"], pdf["any_text"], pdf["unit"], pdf["note"], strict=True):
                 want = parse_unit(by_name[q].common)
                 got, origin = (parse_unit(unit, want.dims), "unit") if unit else (None, None)
@@ -230,31 +233,35 @@ def harmonize(readings: DataFrame, quantities: tuple[Quantity, ...] = PARTICLE_Q
                 codes.append(got.code if got else None)
                 origins.append(origin if got else None)
                 scales.append(got.scale / want.scale if got else None)
+                shifts.append((got.offset - want.offset) / want.scale if got else None)
                 numbers.append(n)
-            yield pd.DataFrame({**({"dtm": pdf["dtm"]} if "dtm" in pdf else {}), "reading_id": pdf["reading_id"], "source": pdf["source"], "quantity": pdf["quantity"], "raw_value": pd.array(numbers, dtype="Float64"), "unit_code": codes, "unit_from": origins, "scale": pd.array(scales, dtype="Float64")})
+            yield pd.DataFrame({**({"dtm": pdf["dtm"]} if "dtm" in pdf else {}), "reading_id": pdf["reading_id"], "source": pdf["source"], "quantity": pdf["quantity"], "raw_value": pd.array(numbers, dtype="Float64"), "unit_code": codes, "unit_from": origins, "scale": pd.array(scales, dtype="Float64"), "shift": pd.array(shifts, dtype="Float64")})
 
     time = "dtm timestamp, " if "dtm" in src.columns else ""
-    parsed = src.mapInPandas(parse, time + "reading_id long, source string, quantity string, raw_value double, unit_code string, unit_from string, scale double")
+    parsed = src.mapInPandas(parse, time + "reading_id long, source string, quantity string, raw_value double, unit_code string, unit_from string, scale double, shift double")
     if not keep_unreadable:
         parsed = parsed.filter(F.col("raw_value").isNotNull() & ~F.isnan("raw_value"))
     parsed = materialize(parsed, "units")  # parsed once, though read for the medians and for the result
-    level = F.log10(F.abs(F.col("raw_value") * F.col("scale")))
+    level = F.log10(F.abs(F.nullif(F.col("raw_value") * F.col("scale") + F.col("shift"), F.lit(0.0))))
     stated = parsed.filter(F.col("scale").isNotNull() & (F.col("raw_value") != 0) & ~F.isnan("raw_value"))
     own = stated.groupBy("source", "quantity").agg(F.percentile_approx(level, 0.5, 10_000).alias("own_level"))
     whole = own.groupBy("quantity").agg(F.percentile_approx("own_level", 0.5, 10_000).alias("all_level"))
     joined = parsed.alias("p").join(own.alias("o"), F.col("p.source").eqNullSafe(F.col("o.source")) & (F.col("p.quantity") == F.col("o.quantity")), "left").select("p.*", "own_level").join(whole, "quantity", "left")
     target = F.coalesce("own_level", "all_level")
-    pick = scale = None
+    pick = None
     for q in quantities:
         common = parse_unit(q.common)
-        ranked = F.array(*[F.struct(F.abs(F.log10(F.abs(F.col("raw_value")) * F.lit(parse_unit(c).scale / common.scale)) - target).alias("d"), F.lit(int(c != q.common)).alias("k"), F.lit(c).alias("code"), F.lit(parse_unit(c).scale / common.scale).alias("s")) for c in dict.fromkeys((q.common, *q.guess))])
-        best = F.when((F.col("raw_value") == 0) | target.isNull(), F.struct(F.lit(0.0).alias("d"), F.lit(0).alias("k"), F.lit(q.common).alias("code"), F.lit(1.0).alias("s"))).otherwise(F.array_min(ranked))
+        units = [(c, parse_unit(c)) for c in dict.fromkeys((q.common, *q.guess))]
+        options = [(c, u.scale / common.scale, (u.offset - common.offset) / common.scale) for c, u in units]
+        away = lambda s, o: F.abs(F.log10(F.abs(F.nullif(F.col("raw_value") * F.lit(s) + F.lit(o), F.lit(0.0)))) - target)
+        ranked = F.array(*[F.struct(F.coalesce(away(s, o), F.lit(float("inf"))).alias("d"), F.lit(int(c != q.common)).alias("k"), F.lit(c).alias("code"), F.lit(s).alias("s"), F.lit(o).alias("o")) for c, s, o in options])
+        best = F.when((F.col("raw_value") == 0) | target.isNull(), F.struct(F.lit(0.0).alias("d"), F.lit(0).alias("k"), F.lit(q.common).alias("code"), F.lit(1.0).alias("s"), F.lit(0.0).alias("o"))).otherwise(F.array_min(ranked))
         is_q = F.col("quantity") == q.column
         pick = F.when(is_q, best) if pick is None else pick.when(is_q, best)
     guess = pick
     out = joined.withColumn("guess", guess)
-    scale = F.coalesce("scale", F.col("guess.s"))
-    return out.select(*(["dtm"] if time else []), "reading_id", "source", "quantity", "raw_value", F.coalesce("unit_code", F.col("guess.code")).alias("unit_code"), F.coalesce("unit_from", F.lit("inferred")).alias("unit_from"), (F.col("raw_value") * scale).alias("value"))
+    value = F.col("raw_value") * F.coalesce("scale", F.col("guess.s")) + F.coalesce("shift", F.col("guess.o"))
+    return out.select(*(["dtm"] if time else []), "reading_id", "source", "quantity", "raw_value", F.coalesce("unit_code", F.col("guess.code")).alias("unit_code"), F.coalesce("unit_from", F.lit("inferred")).alias("unit_from"), value.alias("value"))
 
 
 def in_other_unit(readings: DataFrame, quantities: tuple[Quantity, ...] = PARTICLE_QUANTITIES) -> DataFrame:

@@ -14,7 +14,7 @@ def test_grid(spark, at):
     readings = [("a", "2008-01-01 00:00:10", 1.0), ("a", "2008-01-01 00:00:50", 3.0), ("a", "2008-01-01 00:03:00", 5.0), ("a", "2008-01-01 00:03:00", 5.0), ("b", "2008-01-01 00:00:00", nan), ("c", "2008-01-01 00:00:00", 1.0), (None, "2008-01-01 00:00:00", 1.0), ("a", None, 1.0), ("d", "2008-01-01 00:00:00", 1.0)]
     r, dev = frames(spark, at, readings, [("a", 60, "x"), ("a", 90, "x"), ("b", 60, "x"), ("c", 0, "x"), ("e", 60, "x"), (None, 60, "x")])
     got = {(x.device, x.slot_epoch - 1199145600): (x.n, x.value, x.missing, x.filled) for x in regularize(r, dev).collect()}
-    assert got == {("a", 0): (2, 2.0, False, False), ("a", 60): (0, None, True, False), ("a", 120): (0, None, True, False), ("a", 180): (2, 5.0, False, False), ("b", 0): (1, None, False, False)}
+    assert got == {("a", 0): (2, 2.0, False, False), ("a", 60): (0, 3.0, True, True), ("a", 120): (0, 4.0, True, True), ("a", 180): (2, 5.0, False, False), ("b", 0): (1, None, False, False)}
     r, dev = frames(spark, at, [], [])
     assert regularize(r, dev).count() == 0
 
@@ -38,8 +38,12 @@ def test_imputation_beats_interpolation():
     linear = np.interp(t, t[~gaps], x[~gaps])
     assert (done == gaps).all() and not np.isnan(filled).any()
     assert np.abs(filled - clean)[gaps].mean() < 0.5 * np.abs(linear - clean)[gaps].mean()
-    short, none = ssa_impute(np.array([1.0, np.nan, 2.0]))
-    assert np.isnan(short[1]) and not none.any()
+    short, done = ssa_impute(np.array([1.0, np.nan, 2.0]))
+    assert short[1] == 1.5 and done.tolist() == [False, True, False]
+    few, done = ssa_impute(np.r_[np.nan, np.sin(np.arange(20) / 3), np.nan])
+    assert done.sum() == 2 and np.isfinite(few).all()
+    none, done = ssa_impute(np.full(5, np.nan))
+    assert np.isnan(none).all() and not done.any()
     flat = np.r_[np.ones(100), np.nan, np.ones(100)]
     assert ssa_impute(flat)[0][100] == 1
 

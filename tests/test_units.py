@@ -1,5 +1,6 @@
 import pytest
 
+from aerolake.operators import units
 from aerolake.operators.units import harmonize, in_other_unit, parse_quantity, parse_unit, unit_in_remark
 
 MASS = parse_unit("ug/m3").dims
@@ -61,3 +62,14 @@ def test_harmonize(spark):
     found = dict(in_other_unit(frame(spark, rows)).collect())
     assert found == {100: "mg/m3", 102: "ug/l", 103: "mg/m3", 107: "ug/m3", 109: "ug/m3", 112: "ng/m3"}
     assert harmonize(frame(spark, [])).count() == 0
+
+
+def test_offsets_count(spark):
+    kelvin = (units.Quantity("pm25_conc", ("avo",), "K", guess=("degC", "degF")),)
+    rows = [(1, "s", "avo", 20.0, None, None, None, "degC", None), (2, "s", "avo", 68.0, None, None, None, "°F", None), (3, "s", "avo", 293.15, None, None, None, "kelvin", None), (4, "s", "avo", 20.5, None, None, None, None, None), (5, "s", "avo", 69.0, None, None, None, None, None), (6, "s", "avo", -300.0, None, None, None, None, None)]
+    got = {r.reading_id: r for r in harmonize(frame(spark, rows), kelvin).collect()}
+    assert [round(got[i].value, 6) for i in (1, 2, 3, 4)] == [293.15, 293.15, 293.15, 293.65]
+    assert (got[4].unit_code, got[5].unit_code) == ("degC", "degF") and got[5].value == pytest.approx(293.705556)
+    assert got[6].unit_code == "K"
+    celsius = (units.Quantity("pm25_conc", ("avo",), "degC", guess=("K",)),)
+    assert harmonize(frame(spark, rows[:3]), celsius).agg({"value": "max"}).first()[0] == pytest.approx(20)
