@@ -114,11 +114,11 @@ def verify_constant(df: DataFrame, expected: Mapping[str, float], tolerance: flo
                 raise ValueError(f"{c}: {n} is {got[f'{n}_{c}']}, not {value}")
 
 
-def available_and_valid(df: DataFrame, variables: Sequence[str], accept_null_flag: bool = True) -> DataFrame:
-    """Per variable the values there are and those that count; one row per variable."""
+def available_and_valid(df: DataFrame, variables: Sequence[str], accept_null_flag: bool = True, keys: Sequence[str] = ()) -> DataFrame:
+    """Per group (``keys``, or all rows) and variable the values there are and those that count."""
     found = resolve_variables(variables, df.columns)
-    stats = df.agg(*[a for v in found for a in (F.count(F.col(v.column)).alias(f"a_{v.name}"), F.count(only_valid(F.col(v.column), F.col(v.flag) if v.flag else None, accept_null_flag)).alias(f"v_{v.name}"))])
-    return stats.select(F.explode(F.array(*[F.struct(F.lit(v.name).alias("variable"), F.col(f"a_{v.name}").alias("available"), F.col(f"v_{v.name}").alias("valid")) for v in found])).alias("s")).select("s.*")
+    stats = df.groupBy(*keys).agg(*[a for v in found for a in (F.count(F.col(v.column)).alias(f"a_{v.name}"), F.count(only_valid(F.col(v.column), F.col(v.flag) if v.flag else None, accept_null_flag)).alias(f"v_{v.name}"))])
+    return stats.select(*keys, F.explode(F.array(*[F.struct(F.lit(v.name).alias("variable"), F.col(f"a_{v.name}").alias("available"), F.col(f"v_{v.name}").alias("valid")) for v in found])).alias("s")).select(*keys, "s.*")
 
 
 def wind_mean(df: DataFrame, keys: Sequence[Column], speed: Column, direction: Column) -> DataFrame:

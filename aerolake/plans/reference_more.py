@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 from dataclasses import replace
-from functools import reduce
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -18,7 +17,7 @@ from aerolake.session import scratch_path, table
 from aerolake.sources import tahmo
 from aerolake.sources.files import read_format
 from aerolake.sources.formats import AE33_COLUMNS, FORMATS, TAHMO_UNITS
-from aerolake.sources.sinks import ebas_columns, merge_into, wdcgg_lines, with_partitions
+from aerolake.sources.sinks import ebas_columns, ebas_level0, merge_into, wdcgg_lines, with_partitions
 
 
 @query("S05_scan_of_drifting_files", "SELECT row_id, source, CAST(NULL AS DOUBLE) AS o3, value FROM level1_rows UNION ALL SELECT row_id, source, o3, NULL FROM thermo", with_obs=False)
@@ -124,7 +123,7 @@ def d10(spark, d):
     return rows.select("row_id", F.unix_micros(columns.find_time_column(rows)).alias("us"))
 
 
-@query("K01_keyed_merge", "SELECT row_id, value FROM level1_rows WHERE \"timestamp\" IS NOT NULL", with_obs=False)
+@query("K01_keyed_merge", "SELECT row_id, CASE WHEN NOT isnan(value) THEN value END AS value FROM level1_rows WHERE \"timestamp\" IS NOT NULL", with_obs=False)
 def k01(spark, d):
     rows = table(spark, d, "level1_rows").filter("timestamp is not null").select("row_id", "timestamp", "value")
     target = scratch_path(spark, "level1")
@@ -132,22 +131,31 @@ def k01(spark, d):
     return merge_into(rows, target, ["row_id"], time="timestamp", split="day", prefer="existing").select("row_id", "value")
 
 
-@query("K08_submission_lines", "SELECT event_id, 'MKN ' || strftime(dtm, '%Y-%m-%d %H:%M') || ' ' || CASE WHEN value % 1 = 0 THEN CAST(value::BIGINT AS VARCHAR) ELSE rtrim(CAST(value::DECIMAL(12, 2) AS VARCHAR), '0') END AS line FROM obs WHERE event_id % 3 <> 1")
+@query("K04_merge_counts", "SELECT count(*) AS rows, count(*) FILTER (WHERE user_id % 2 = 0) AS old_rows, count(*) FILTER (WHERE user_id % 2 = 1) AS new_rows FROM obs")
+def k04(spark, d):
+    """Half of the users' rows are there; all come again: what a monthly merge reports."""
+    rows = obs(spark, d).select("event_id", "dtm", "user_id", "value")
+    target, report = scratch_path(spark, "tahmo"), {}
+    merge_into(rows.filter("user_id % 2 = 0"), target, ["event_id"])
+    merge_into(rows, target, ["event_id"], report=report)
+    return spark.createDataFrame([(report["rows"], report["old_rows"], report["new_rows"])], "rows long, old_rows long, new_rows long")
+
+
+@query("K08_submission_lines", "SELECT us, 'MKN ' || year(dtm) || ' ' || month(dtm) || ' ' || day(dtm) || ' ' || hour(dtm) || ' ' || minute(dtm) || ' ' || second(dtm) || ' ' || printf('%g', CASE WHEN k * 4 = 360 THEN 0 ELSE k * 4 END) || ' ' || printf('%g', value / 7) || ' ' || printf('%g', coalesce(CASE WHEN f = 0 THEN k END, -99.9)) || ' ' || printf('%g', value * 1e4) || ' ' || printf('%g', value * 1e-6) || ' -99.9 ' || printf('%g', -value) || ' -0.0621999986 37.2971992493 3688 3678' AS line FROM obs")
 def k08(spark, d):
-    rows = obs(spark, d).withColumn("iii", F.when(F.col("event_id") % 3 != 1, 187))
-    lines = wdcgg_lines(rows.withColumn("dtm", F.col("dtm")), "dtm", "iii", ["value"])
-    ids = rows.select("event_id", F.col("dtm").alias("t"))
-    return lines.join(ids, F.col("dtm") == F.col("t")).select("event_id", "line")
+    rows = obs(spark, d).select("us", "dtm", F.lit(187).alias("iii"), (F.col("k") * 4).alias("dkl010h0"), (F.col("value") / 7).alias("fkl010h0"), F.when(F.col("f") == 0, F.col("k")).alias("uor200h0"), (F.col("value") * 1e4).alias("prestah0"), (F.col("value") * 1e-6).alias("tre200h0"), F.lit(float("nan")).alias("rre150h0"), (-F.col("value")).alias("gor000h0"))
+    return wdcgg_lines(rows, "dtm", "iii").select(F.unix_micros("dtm").alias("us"), "line")
 
 
-@query("K08_submission_lines_whole", "SELECT us, 'MKN ' || strftime(dtm, '%Y-%m-%d %H:%M') || ' ' || CASE WHEN value IS NULL THEN '-99.9' WHEN value % 1 = 0 THEN CAST(value::BIGINT AS VARCHAR) ELSE rtrim(CAST(value::DECIMAL(12, 2) AS VARCHAR), '0') END AS line FROM obs")
-def k08_whole(spark, d):
-    lines = wdcgg_lines(obs(spark, d).withColumn("iii", F.lit(187)), "dtm", "iii", ["value"])
-    return lines.select(F.unix_micros("dtm").alias("us"), "line")
+@query("K09_submission_level0", "+y AS (SELECT CAST(min(dtm) AS DATE) AS first FROM obs) SELECT us, round((us - epoch_us(date_trunc('year', first))) / 86400e6, 6) AS start_time, round((us + 60000000 - epoch_us(date_trunc('year', first))) / 86400e6, 6) AS end_time, round(value / 100, 6) AS pressure, round(k + 273.15, 6) AS case_temperature, round(value / 1000, 6) AS bc61, CAST(NULL AS DOUBLE) AS k7, f::DOUBLE AS numflag FROM obs, y")
+def k09(spark, d):
+    rows = obs(spark, d).select("dtm", F.col("value").alias("Pressure"), F.col("k").alias("ContTemp"), F.col("value").alias("BC61"), F.col("f"), F.lit(float("inf")).alias("K7x"))
+    out = ebas_level0(rows, "dtm", 60, "f")
+    return out.select(F.unix_micros("dtm").alias("us"), "start_time", "end_time", r6("Pressure").alias("pressure"), r6("ContTemp").alias("case_temperature"), r6("BC61").alias("bc61"), F.col("K7").alias("k7"), "numflag")
 
 
 @query("K09_submission_units", "SELECT row_id, round(pressure / 100, 6) AS pressure, round(temperature + 273.15, 6) AS temperature, flow1 / 1000 AS flow1, bc6 / 1000 AS bc6 FROM ae33", with_obs=False)
-def k09(spark, d):
+def k09u(spark, d):
     return ebas_columns(table(spark, d, "ae33").select("row_id", "pressure", "temperature", "flow1", "bc6")).withColumns({"pressure": r6("pressure"), "temperature": r6("temperature")})
 
 
@@ -182,9 +190,8 @@ def q01c(spark, d):
 
 @query("O01_station_summary", f"SELECT event_type AS instrument, count(*) AS rows, count(value) AS available, count({_GOOD}) AS valid FROM obs GROUP BY 1")
 def o01(spark, d):
-    kinds = ["click", "view", "error", "purchase", "signup"]
-    parts = [aggregate.available_and_valid(obs(spark, d).withColumn("f_value", F.col("f")).filter(F.col("event_type") == k), ["value"]).select(F.lit(k).alias("instrument"), F.col("available").alias("rows"), "available", "valid") for k in kinds]
-    return reduce(lambda a, b: a.unionAll(b), parts)
+    rows = obs(spark, d).withColumn("f_value", F.col("f"))
+    return aggregate.available_and_valid(rows, ["value"], keys=["event_type"]).select(F.col("event_type").alias("instrument"), F.col("available").alias("rows"), "available", "valid")
 
 
 # --- raw files: lines are written as text files in the instrument's layout and read back by its parser ------------------------------

@@ -420,10 +420,10 @@ def c02_whole(spark, d):
     return table(spark, d, "thermo_lines").select("line_id", F.split_part("line", F.lit(","), F.lit(4)).try_cast("double").alias("x"))
 
 
-@query("C03_coalesce", "SELECT row_id, coalesce(value, aux, -1) AS v, flag IS NOT DISTINCT FROM NULL AS unflagged FROM level1_rows WHERE value IS NULL OR NOT isnan(value)", with_obs=False)
+@query("C03_coalesce", "SELECT row_id, coalesce(CASE WHEN NOT isnan(value) THEN value END, CASE WHEN NOT isnan(aux) THEN aux END, -1) AS v, flag IS NOT DISTINCT FROM NULL AS unflagged FROM level1_rows", with_obs=False)
 def c03(spark, d):
-    rows = table(spark, d, "level1_rows").filter(F.col("value").isNull() | ~F.isnan("value"))
-    return rows.select("row_id", F.coalesce("value", "aux", F.lit(-1.0)).alias("v"), F.col("flag").eqNullSafe(F.lit(None)).alias("unflagged"))
+    rows = table(spark, d, "level1_rows")
+    return rows.select("row_id", F.coalesce(numeric.clean_number(F.col("value")), numeric.clean_number(F.col("aux")), F.lit(-1.0)).alias("v"), F.col("flag").eqNullSafe(F.lit(None)).alias("unflagged"))
 
 
 @query("C05_hex", "SELECT row_id, ('0x' || flags)::BIGINT AS bits FROM thermo WHERE flags IS NOT NULL", with_obs=False)

@@ -101,8 +101,17 @@ def read_format(spark: SparkSession, paths: str | list[str], fmt: Format, keep:
     one parse. An empty file has no row and no error.
     """
     scan = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    name = F.element_at(F.split("path", "/"), -1)
-    files = scan.filter(name.rlike(fmt.accept)).select("path", "content")
+    return parse_files(accepted(scan, fmt), fmt, keep)
+
+
+def accepted(files: DataFrame, fmt: Format) -> DataFrame:
+    """The files (``path`` and others) whose names a format accepts; folders don't count."""
+    return files.filter(F.element_at(F.split("path", "/"), -1).rlike(fmt.accept))
+
+
+def parse_files(files: DataFrame, fmt: Format, keep: bool = True) -> tuple[DataFrame, DataFrame]:
+    """As :func:`read_format`, of files that lie in a table: ``path``, ``content`` (bytes). Null contents are empty files."""
+    files = files.select("path", F.coalesce("content", F.lit(b"")).alias("content"))
     schema, only = fmt.schema, re.compile(fmt.members, re.I)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

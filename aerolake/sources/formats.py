@@ -8,6 +8,8 @@ import re
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from aerolake.sources.files import Format, decode
 
@@ -74,7 +76,14 @@ CPD2_TABLES = {
     "S11a": ("F1_S11", "F2_S11", "BsB_S11", "BsG_S11", "BsR_S11", "BbsB_S11", "BbsG_S11", "BbsR_S11", "T1_S11", "T2_S11", "U_S11", "P_S11"),
     "S11s": ("F2_S11",),
     "S11c": ("BswB_S11", "BswG_S11", "BswR_S11", "BbswB_S11", "BbswG_S11", "BbswR_S11"),
-    "S11k": (), "S11m": (), "A11a": (),
+    # total and back scattering (Cs, Cbs), each in blue, green and red: reference, dark and sample counts of both shutters, ...
+    "S11k": (
+        "P1_S11", "P2_S11", "T3_S11", "T4_S11", "U1_S11", "U2_S11", "DEN1_S11", "DEN2_S11",
+        *(f"{n}{c}_S11" for k in (1, 2) for w in ("r", "d", "p") for n in (f"Cs{w}{k}", f"Cbs{w}{k}") for c in "BGR"),
+        *(f"{n}{c}_S11" for n in ("Csn", "Cbsn", "Bs1", "Bbs1", "Bs2", "Bbs2", "Bs2g", "Bbs2g", "PCTs", "PCTbs") for c in "BGR"),
+    ),
+    "S11m": ("CrG_S11", "BswB_S11", "BswG_S11", "BswR_S11", "BbswB_S11", "BbswG_S11", "BbswR_S11", *(f"Calparams{k}_{i}_S11" for k in range(60, 66) for i in range(1, 14))),
+    "A11a": ("Q_A11", "PCT_A11", *(f"{n}{i}{c}_A11" for n, c in (("X", "c"), ("ZIr", ""), ("Ipz", ""), ("Ip", ""), ("Ifz", ""), ("If", "")) for i in _CHANNELS)),
 }
 STAMPS = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%dT%H:%M:%SZ", "%m/%d/%Y %I:%M:%S %p", "%m/%d/%Y %H:%M:%S", "%Y/%m/%d %H:%M:%S", "%d.%m.%Y %H:%M:%S", "%Y-%m-%d %H:%M", "%Y-%m-%d")
 # ---------------------------------------------------------------------------------------------------------------------
@@ -269,6 +278,12 @@ def _cpd2(name: str, raw: bytes) -> pd.DataFrame:
 
 CPD2_FORMAT_COLUMNS = {"record": "string", "station": "string", "epoch": "bigint", "dtm": "timestamp", "n_fields": "int", "fields": "string"} | {n: "string" if n.startswith("F") else "double" for t in CPD2_TABLES.values() for n in t}
 
+
+def cpd2_table(rows: DataFrame, record: str) -> DataFrame:
+    """One record type's table: station, epoch, dtm and the columns of that type, in order of time."""
+    return rows.filter(F.col("record") == record).select("station", "epoch", "dtm", *CPD2_TABLES[record]).sort("dtm")
+
+
 _NUM = r"[-+]?\d*\.?\d+"
 _PAIR = re.compile(rf"(X[ACD]{{2}})\s+(\d\d:\d\d:\d\d)\s+({_NUM})\s+({_NUM})\s+({_NUM})")
 _SINGLE = re.compile(rf"X[ACD]\s+\d\d:\d\d:\d\d\s+(?:{_NUM}\s+){{3}}({_NUM})")

@@ -10,15 +10,22 @@ import zipfile
 from collections.abc import Mapping, Sequence
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from aerolake.operators.joins import with_scalars
 from aerolake.operators.merge import merge_keyed, simplify_types
 from aerolake.session import filesystem
 
 # --- fixed values -------------------------------------------------------------------------------------------------------
+PIECES = 8  # tasks that write one month's or year's partition
 WDCGG_STATIONS = {187: "MKN"}
 WDCGG_MISSING = -99.9
+WDCGG_VALUES = {
+    "dkl010h0": "wind_direction", "fkl010h0": "wind_speed", "uor200h0": "relative_humidity", "prestah0": "air_pressure", "tre200h0": "air_temperature",
+    "rre150h0": "precipitation_amount", "gor000h0": "global_solar_radiation",
+}
+WDCGG_PLACE = {"latitude": -0.0621999986, "longitude": 37.2971992493, "altitude": 3688, "elevation": 3678}
 # ---------------------------------------------------------------------------------------------------------------------
 
 
@@ -46,46 +53,69 @@ def time_range_filter(df: DataFrame, start: str, end: str) -> DataFrame:
     return out
 
 
-def merge_into(incoming: DataFrame, target: str, keys: Sequence[str], time: str = "dtm", split: str = "month", prefer: str = "incoming", rank: str | None = None, dry_run: bool = False) -> DataFrame:
+def merge_into(incoming: DataFrame, target: str, keys: Sequence[str], time: str = "dtm", split: str = "month", prefer: str = "incoming", rank: str | None = None, dry_run: bool = False, report: dict[str, int] | None = None) -> DataFrame:
     """Merge rows by key into a partitioned dataset; only partitions that get rows are rewritten.
 
-    The merged partitions are written beside the dataset, then swapped in one by one, so the data being read is never
-    overwritten and a failure before the swap changes nothing. Returns the merged rows (with ``dry_run`` nothing is
-    written). Null times go to the partition of a null year.
+    The merged partitions are written beside the dataset, verified (the schema, and the rows of every partition against
+    those the merge made), then swapped in together: a failure before the swap changes nothing, and one during it puts back
+    what was moved. Returns the merged rows (with ``dry_run`` nothing is written); ``report`` gets ``rows`` written,
+    ``old_rows`` of the rewritten partitions and ``new_rows``. NaN is no value and becomes null. Null times go to the
+    partition of a null year. A month or year of many rows is written by several tasks, cut by the hash of the key.
     """
     spark = incoming.sparkSession
+    fractional = [c for c, k in incoming.dtypes if k in ("double", "float")]
+    incoming = incoming.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in fractional})
     new, parts = with_partitions(incoming, time, split)
+    old_rows = 0
     if _exists(spark, target):
         old = spark.read.parquet(target)
         touched = new.select(*parts).distinct()
         if parts:
             on = [F.col(f"o.{p}").eqNullSafe(F.col(f"t.{p}")) for p in parts]
             old = old.alias("o").join(touched.alias("t"), on, "left_semi")  # partition columns: pruned at run time
+        old_rows = old.count() if report is not None and not dry_run else 0
         merged = merge_keyed(old, new, keys, prefer, rank)
     else:
         merged = merge_keyed(new.limit(0), new, keys, prefer, rank)
     if dry_run:
         return merged
     staging = f"{target.rstrip('/')}.staging"
-    out = merged.repartition(*[F.col(p) for p in parts]) if parts else merged
+    seen = Observation()
+    piece = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(PIECES))
+    out = merged.observe(seen, F.count("*").alias("rows"))
+    out = out.repartition(*[F.col(p) for p in parts], piece) if parts else out
     out = out.sortWithinPartitions(*parts, time)
     out.write.mode("overwrite").partitionBy(*parts).option("compression", "zstd").parquet(staging)
+    try:
+        verify_staged(spark, staging, merged, seen.get["rows"])
+    except BaseException:
+        fs, stage = filesystem(spark, staging)
+        fs.delete(stage, True)
+        raise
     swap_in(spark, staging, target, len(parts))
+    if report is not None:
+        report |= {"rows": seen.get["rows"], "old_rows": old_rows, "new_rows": seen.get["rows"] - old_rows}
     return spark.read.parquet(target)
 
 
+def verify_staged(spark: SparkSession, staging: str, expected: DataFrame, rows: int) -> None:
+    """Raise unless a staged dataset has the expected columns and types and as many rows as were sent to it."""
+    if not rows:
+        return
+    staged = spark.read.parquet(staging)
+    folders = {f.name for f in staged.schema} & {"year", "month", "day"}  # their types are read from names
+    want, have = ({c: k for c, k in df.dtypes if c not in folders} for df in (expected, staged))
+    if want != have:
+        raise ValueError(f"the staged columns differ: {sorted(set(want.items()) ^ set(have.items()))}")
+    n = staged.count()
+    if n != rows:
+        raise ValueError(f"{n} rows staged of {rows}")
+
+
 def swap_in(spark: SparkSession, staging: str, target: str, depth: int) -> None:
-    """Move every partition folder of a staged dataset to its place, the old one aside until it is there."""
+    """Move every partition folder of a staged dataset to its place. The old ones stay aside until all have moved; if a move fails, all are put back."""
     fs, stage = filesystem(spark, staging)
     _, final = filesystem(spark, target)
-    if depth == 0 or not fs.exists(final):
-        old = filesystem(spark, f"{target.rstrip('/')}.old")[1]
-        if fs.exists(final):
-            fs.rename(final, old)
-        if not fs.rename(stage, final):
-            raise OSError(f"{staging} can't be moved")
-        fs.delete(old, True)
-        return
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
 
     def walk(folder, left: int):
@@ -94,16 +124,34 @@ def swap_in(spark: SparkSession, staging: str, target: str, depth: int) -> None:
                 yield from walk(s.getPath(), left - 1) if left > 1 else [s.getPath()]
 
     base = str(stage.toUri().getPath()).rstrip("/")
-    for p in list(walk(stage, depth)):
-        place = path(f"{target.rstrip('/')}{str(p.toUri().getPath())[str(p.toUri().getPath()).index(base) + len(base):]}")
-        aside = path(f"{place}.old")
-        if fs.exists(place):
-            fs.rename(place, aside)
-        else:
+    if depth == 0 or not fs.exists(final):
+        moves = [(stage, final)]
+    else:
+        moves = [(p, path(target.rstrip("/") + str(p.toUri().getPath())[len(base) :])) for p in walk(stage, depth)]
+    done: list[tuple] = []
+    try:
+        for p, place in moves:
+            aside = path(place.getParent(), f"_{place.getName()}.old")  # hidden from readers
+            held = fs.exists(place)
+            if fs.exists(aside):
+                raise OSError(f"{aside} is left of a swap that broke off and can't be moved over")
+            if held and not fs.rename(place, aside):
+                raise OSError(f"{place} can't be moved aside")
+            done.append((p, place, aside, held, False))
             fs.mkdirs(place.getParent())
-        if not fs.rename(p, place):
-            raise OSError(f"{p} can't be moved")
-        fs.delete(aside, True)
+            if not fs.rename(p, place):
+                raise OSError(f"{p} can't be moved")
+            done[-1] = (p, place, aside, held, True)
+    except BaseException:
+        for p, place, aside, held, moved in reversed(done):
+            if moved:
+                fs.rename(place, p)
+            if held:
+                fs.rename(aside, place)
+        raise
+    for _, _, aside, held, _ in done:
+        if held:
+            fs.delete(aside, True)
     fs.delete(stage, True)
 
 
@@ -112,7 +160,7 @@ def write_level2(df: DataFrame, target: str, station: str, instrument: str, ever
     path = f"{target.rstrip('/')}/{every}"
     out = df.withColumns({"station": F.lit(station), "instrument": F.lit(instrument.replace("/", "-")), "year": F.year(time)})
     out = simplify_types(out) if simplify else out
-    out.repartition("year").sortWithinPartitions("year", time).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("station", "instrument", "year").option("compression", "zstd").parquet(path)
+    out.repartition("year", F.month(time)).sortWithinPartitions("year", time).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("station", "instrument", "year").option("compression", "zstd").parquet(path)
     return path
 
 
@@ -138,34 +186,96 @@ def lost_flags(spark: SparkSession, target: str, df: DataFrame) -> list[str]:
     return sorted(c for c in spark.read.parquet(target).columns if c.startswith("f_") and c not in df.columns)
 
 
-def wdcgg_lines(df: DataFrame, time: str, station: str, values: Sequence[str]) -> DataFrame:
-    """Lines of a WDCGG submission: station, date, time and values in %g style, -99.9 where missing; direction 360 is 0."""
+def general(c: Column) -> Column:
+    """A number in six significant digits without idle zeros, in powers of ten under 1e-4 and from 1e6 on (as %g)."""
+    x = c.cast("double")
+    form = F.format_string("%.5e", x)  # rounded to six digits: d.ddddde±xx
+    tens = F.regexp_extract(form, r"e([+-]\d+)$", 1).cast("int")
+    plain = lambda t: F.regexp_replace(F.regexp_replace(t, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    rounded = form.cast("decimal(38,12)").cast("string")
+    return F.when((x == 0) | ((tens >= -4) & (tens < 6)), plain(rounded)).otherwise(F.concat(plain(F.substring_index(form, "e", 1)), F.lit("e"), F.regexp_extract(form, r"e([+-]\d+)$", 1)))
+
+
+def wdcgg_lines(df: DataFrame, time: str, station: str, values: Mapping[str, str] = WDCGG_VALUES, place: Mapping[str, float] = WDCGG_PLACE) -> DataFrame:
+    """Lines of a meteorological WDCGG submission, without the header: ``time``, ``line``.
+
+    A line holds the station's name, year, month, day, hour, minute and second, the seven values in six significant digits
+    (-99.9 where missing or NaN; a wind direction of 360 is 0), latitude and longitude with ten decimals, altitude and elevation.
+    ``values``: column -> name in the header. Rows of unknown stations have no line; a column that isn't there is missing.
+    """
     names = F.create_map(*[F.lit(x) for kv in WDCGG_STATIONS.items() for x in kv])
 
-    def g(c: Column) -> Column:
-        v = F.coalesce(F.round(c.cast("double"), 6), F.lit(WDCGG_MISSING))
-        return F.regexp_replace(F.regexp_replace(F.format_string("%.6f", v), r"0+$", ""), r"\.$", "")
+    def cell(column: str, name: str) -> Column:
+        x = F.col(column).try_cast("double") if column in df.columns else F.lit(None).cast("double")
+        x = F.when(~F.isnan(x), x)
+        return general(F.coalesce(F.when(x == 360, 0.0).otherwise(x) if name == "wind_direction" else x, F.lit(WDCGG_MISSING)))
+
+    clock = [F.date_part(F.lit(p), F.col(time)).cast("int").cast("string") for p in ("year", "month", "day", "hour", "minute", "second")]
+    spot = [F.lit(f"{place[k]:.10f}") for k in ("latitude", "longitude")] + [F.lit(str(int(place[k]))) for k in ("altitude", "elevation")]
+    site = names[F.col(station).cast("int")]
+    return df.filter(site.isNotNull()).select(F.col(time), F.concat_ws(" ", site, *clock, *[cell(c, n) for c, n in values.items()], *spot).alias("line"))
 
-    cells = [names[F.col(station).cast("int")], F.date_format(time, "yyyy-MM-dd"), F.date_format(time, "HH:mm"), *[g(F.col(v)) for v in values]]
-    return df.filter(names[F.col(station).cast("int")].isNotNull()).select(F.col(time), F.concat_ws(" ", *cells).alias("line"))
 
+def wdcgg_header(values: Mapping[str, str] = WDCGG_VALUES) -> str:
+    return " ".join(["site_gaw_id", "year", "month", "day", "hour", "minute", "second", *values.values(), "latitude", "longitude", "altitude", "elevation"])
 
-def write_wdcgg(df: DataFrame, path: str, time: str, station: str, values: Sequence[str]) -> str:
-    """One station's year as a text file; more than one station or year is an error."""
+
+def write_wdcgg(df: DataFrame, path: str, time: str, station: str, values: Mapping[str, str] = WDCGG_VALUES) -> str:
+    """One station's year as a text file with its header; more than one station or year is an error."""
     span = df.agg(F.count_distinct(station).alias("s"), F.count_distinct(F.year(time)).alias("y")).first()
     if span["s"] != 1 or span["y"] != 1:
         raise ValueError(f"{span['s']} stations and {span['y']} years instead of one")
-    with open(path, "w") as f:
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(wdcgg_header(values) + "\n")
         for r in wdcgg_lines(df, time, station, values).orderBy(time).toLocalIterator():
             f.write(r["line"] + "\n")
     return path
 
 
 def ebas_columns(df: DataFrame) -> DataFrame:
-    """Aethalometer columns in the units of a NASA-Ames submission: Pa to hPa, degC to K, ml/min to l/min, ng to ug."""
-    out = {"pressure": F.col("pressure") / 100, "temperature": F.col("temperature") + 273.15}
-    out |= {c: F.col(c) / 1000 for c in df.columns if c.lower().startswith(("flow", "bc"))}
-    return df.withColumns({k: v for k, v in out.items() if k in df.columns})
+    """Aethalometer columns in the units of a NASA-Ames submission.
+
+    Pressure from Pa to hPa; the sample's and the case's temperatures from degC to K; flows from ml/min to l/min; black
+    carbon of both spots and combined from ng to ug. What isn't finite is null. Other columns, as the attenuations
+    (:func:`aerolake.operators.windows.attenuation`), pass through.
+    """
+
+    def finite(c: str) -> Column:
+        x = F.col(c).try_cast("double")
+        return F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)
+
+    out = {}
+    for c in df.columns:
+        low = c.lower()
+        if low == "pressure":
+            out[c] = finite(c) / 100
+        elif low in ("temperature", "conttemp", "supplytemp", "ledtemp"):
+            out[c] = finite(c) + 273.15
+        elif low in ("flow1", "flow2", "flowc") or (low.startswith("bc") and low[2:].isdigit()):
+            out[c] = finite(c) / 1000
+    return df.withColumns(out)
+
+
+#: Order of a level 0 submission's variables.
+EBAS_ORDER = (
+    "Pressure", "Temperature", "Flow1", "Flow2", "FlowC", "ContTemp", "SupplyTemp", "LedTemp", "Status", "ContStatus", "DetectStatus", "LedStatus", "ValveStatus", "TapeAdvCount", "BB",
+    *(n.format(i) for i in range(1, 8) for n in ("RefCh{}", "Sen1Ch{}", "Sen2Ch{}", "BC{}1", "BC{}2", "BC{}", "K{}", "w{}_sp1", "w{}_sp2")),
+)
+
+
+def ebas_level0(df: DataFrame, time: str, cadence_s: int, flag: str | None = None, humidity: str | None = None) -> DataFrame:
+    """Rows of a level 0 submission: start and end in days since 1 January of the first row's year, the variables in order, the flag.
+
+    A column that isn't there is missing; without a flag column the flag is 0. The first row's year is one aggregate, joined as a value.
+    """
+    year = df.agg(F.year(F.min(time)).alias("_y"))
+    rows = with_scalars(ebas_columns(df), year)
+    start = F.unix_micros(F.make_timestamp("_y", F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+    days = lambda us: F.round((us - start) / 86_400e6, 6)
+    order = [humidity] * (humidity is not None) + list(EBAS_ORDER)
+    have = {c.lower(): c for c in df.columns}
+    cells = [(F.col(have[c.lower()]) if c.lower() in have else F.lit(None)).cast("double").alias(c) for c in order]
+    return rows.select(F.col(time), days(F.unix_micros(time)).alias("start_time"), days(F.unix_micros(time) + cadence_s * 1_000_000).alias("end_time"), *cells, (F.col(flag).cast("double") if flag else F.lit(0.0)).alias("numflag"))
 
 
 def nasa_ames_text(df: DataFrame, time: str, values: Mapping[str, float], header: Mapping[str, str]) -> str:

@@ -256,8 +256,10 @@ def test_tolerant_cast_of_every_line(spark, tmp_path):
 def test_submission_lines_of_every_event(spark, at, tmp_path):
     from aerolake.sources.sinks import wdcgg_lines
 
-    rows = [(i, at(f"2024-01-01 00:0{i}:00"), 1, "view", None if i == 4 else i + 0.5, '{"k": 1}') for i in range(6)]
-    got = [r.line for r in whole_query("K08_submission_lines_whole", spark, tmp_path, "events", rows, EVENTS)]
-    assert sorted(got) == [f"MKN 2024-01-01 00:0{i} {-99.9 if i == 4 else i + 0.5}" for i in range(6)]
+    rows = [(i, at(f"2024-01-01 00:0{i}:00"), 1, "view", None if i == 4 else i + 0.5, '{"k": 90}') for i in range(6)]
+    got = [r.line for r in whole_query("K08_submission_lines", spark, tmp_path, "events", rows, EVENTS)]
+    spot = "-0.0621999986 37.2971992493 3688 3678"
+    g = lambda i, k: "-99.9" if i == 4 else f"{(i + 0.5) * k:g}"
+    assert sorted(got) == [f"MKN 2024 1 1 0 {i} 0 0 {g(i, 1 / 7)} -99.9 {g(i, 1e4)} {g(i, 1e-6)} -99.9 {g(i, -1)} {spot}" for i in range(6)]
     df = spark.createDataFrame([(at("2024-01-01"), 187, 1.0), (at("2024-01-02"), 999, 2.0), (at("2024-01-03"), None, 3.0)], "dtm timestamp, iii int, v double")
-    assert [r.line for r in wdcgg_lines(df, "dtm", "iii", ["v"]).collect()] == ["MKN 2024-01-01 00:00 1"]  # no unmapped station
+    assert [r.line for r in wdcgg_lines(df, "dtm", "iii", {"v": "wind_speed"}).collect()] == [f"MKN 2024 1 1 0 0 0 1 {spot}"]  # no unmapped station

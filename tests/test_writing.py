@@ -30,10 +30,13 @@ def test_exports(spark, tmp_path, at):
     df = spark.createDataFrame([(at("2026-01-01 01:00:00"), 187, 360.5, None), (at("2026-01-01 00:00:00"), 187, 1.0, 2.5)], "dtm timestamp, iii int, a double, b double")
     sinks.export_csv(df, str(tmp_path / "x.zip"), ["dtm"], zipped=True)
     assert zipfile.ZipFile(tmp_path / "x.zip").read("x.csv").decode().splitlines()[1].endswith("187,1.0,2.5")
-    lines = open(sinks.write_wdcgg(df, str(tmp_path / "x.dat"), "dtm", "iii", ["a", "b"])).read().splitlines()
-    assert lines == ["MKN 2026-01-01 00:00 1 2.5", "MKN 2026-01-01 01:00 360.5 -99.9"]
+    values = {"a": "wind_direction", "b": "wind_speed"}
+    lines = open(sinks.write_wdcgg(df, str(tmp_path / "x.dat"), "dtm", "iii", values)).read().splitlines()
+    assert lines[0] == "site_gaw_id year month day hour minute second wind_direction wind_speed latitude longitude altitude elevation"
+    spot = "-0.0621999986 37.2971992493 3688 3678"
+    assert lines[1:] == [f"MKN 2026 1 1 0 0 0 1 2.5 {spot}", f"MKN 2026 1 1 1 0 0 360.5 -99.9 {spot}"]
     with pytest.raises(ValueError):
-        sinks.write_wdcgg(df.union(df.withColumn("dtm", F.lit(at("2025-01-01")))), str(tmp_path / "y.dat"), "dtm", "iii", ["a"])
+        sinks.write_wdcgg(df.union(df.withColumn("dtm", F.lit(at("2025-01-01")))), str(tmp_path / "y.dat"), "dtm", "iii", values)
     from aerolake.sources.formats import nasa_ames
 
     text = sinks.nasa_ames_text(df, "dtm", {"a": 9999.9, "b": 99.99}, {"Station": "MKN"})
@@ -41,6 +44,57 @@ def test_exports(spark, tmp_path, at):
     assert [(str(t)[:16], v, None if x != x else x) for t, v, x in zip(back.dtm, back.variable, back.value, strict=True)] == [("2026-01-01 00:00", "a", 1.0), ("2026-01-01 01:00", "a", 360.5), ("2026-01-01 00:00", "b", 2.5), ("2026-01-01 01:00", "b", None)]
     units = sinks.ebas_columns(spark.createDataFrame([(101300.0, 20.0, 2000, 512)], "pressure double, temperature double, flow1 long, bc6 long")).first()
     assert tuple(units) == (1013.0, 293.15, 2.0, 0.512)
+    case = sinks.ebas_columns(spark.createDataFrame([(30.0, float("nan"), 25.0, 1024.0, 7, float("inf"))], "ContTemp double, SupplyTemp double, LedTemp double, BC61 double, BB int, FlowC double")).first()
+    assert tuple(case) == (303.15, None, 298.15, 1.024, 7, None)
+    row = sinks.ebas_level0(spark.createDataFrame([(at("2026-01-02"), 100.0, 5.0)], "dtm timestamp, Pressure double, w6_sp2 double"), "dtm", 60).first()
+    assert (row.start_time, row.end_time, row.Pressure, row.w6_sp2, row.BB, row.numflag) == (1.0, 1.000694, 1.0, 5.0, None, 0.0)
+
+
+def test_numbers_of_six_digits(spark):
+    values = [0.0, 1.0, -2.5, 123456.7, 999999.5, 1234567.0, 1e-4, 1.5e-5, -99.9, 1e15, 0.1 + 0.2]
+    got = [r.g for r in spark.createDataFrame([(v,) for v in values], "v double").select(sinks.general(F.col("v")).alias("g")).collect()]
+    assert got == [f"{v:g}" for v in values]
+
+
+def test_a_merge_that_fails_changes_nothing(spark, tmp_path, at, monkeypatch):
+    target = str(tmp_path / "d")
+    rows = [(at("2026-01-05"), 1.0, 0), (at("2026-02-05"), 2.0, 0)]
+    report = {}
+    sinks.merge_into(spark.createDataFrame(rows, ROW), target, ["dtm"], report=report)
+    assert report == {"rows": 2, "old_rows": 0, "new_rows": 2}
+    more = spark.createDataFrame([(at("2026-01-05"), float("nan"), 1), (at("2026-01-06"), 5.0, 1), (at("2026-02-05"), 8.0, 1)], ROW)
+    before = sorted(map(str, spark.read.parquet(target).collect()))
+    monkeypatch.setattr(sinks, "verify_staged", lambda *a: (_ for _ in ()).throw(ValueError("differs")))
+    with pytest.raises(ValueError, match="differs"):
+        sinks.merge_into(more, target, ["dtm"])
+    monkeypatch.undo()
+    assert sorted(map(str, spark.read.parquet(target).collect())) == before and not (tmp_path / "d.staging").exists()
+    # the second move fails: what the first one moved is put back
+    staging = tmp_path / "s"
+    for month in (1, 2):
+        (staging / "year=2026" / f"month={month}").mkdir(parents=True)
+        (staging / "year=2026" / f"month={month}" / "x.parquet").write_bytes(b"x")
+    (tmp_path / "d" / "year=2026" / "_month=2.old").mkdir()  # in the way of the old partition
+    (tmp_path / "d" / "year=2026" / "_month=2.old" / "month=2").mkdir()
+    with pytest.raises(Exception, match="moved"):
+        sinks.swap_in(spark, str(staging), target, 2)
+    assert sorted(map(str, spark.read.parquet(target).collect())) == before
+    import shutil
+
+    shutil.rmtree(tmp_path / "d" / "year=2026" / "_month=2.old")
+    sinks.merge_into(more, target, ["dtm"], report=report)
+    assert report == {"rows": 3, "old_rows": 2, "new_rows": 1}
+    assert {str(r.dtm)[:10]: r.v for r in spark.read.parquet(target).collect()} == {"2026-01-05": None, "2026-01-06": 5.0, "2026-02-05": 8.0}
+
+
+def test_staged_rows_are_verified(spark, tmp_path):
+    path = str(tmp_path / "s")
+    spark.range(5).write.parquet(path)
+    sinks.verify_staged(spark, path, spark.range(1), 5)
+    with pytest.raises(ValueError, match="5 rows staged of 6"):
+        sinks.verify_staged(spark, path, spark.range(1), 6)
+    with pytest.raises(ValueError, match="columns differ"):
+        sinks.verify_staged(spark, path, spark.range(1).selectExpr("cast(id as int) as id"), 5)
 
 
 def test_organise_files(tmp_path):
