@@ -164,11 +164,6 @@ def k13(spark, d):
     return table(spark, d, "thermo").select("device", F.unix_micros("dtm").alias("us"), "o3", "flowa").distinct()
 
 
-@query("R26_split_by_source", "SELECT source, count(*) AS n, round(min(pm25_conc), 6) AS low FROM avo_fidas_ae3x WHERE instrument = 'avo' GROUP BY 1", with_obs=False)
-def r26(spark, d):
-    return table(spark, d, "avo_fidas_ae3x").filter("instrument = 'avo'").groupBy("source").agg(F.count("*").alias("n"), r6(F.min("pm25_conc")).alias("low"))
-
-
 @query("R27_cleaned_inner", "SELECT a.row_id, a.bc6, b.bb FROM (SELECT row_id, bc6 FROM ae33 WHERE bc6 > 0) a JOIN (SELECT row_id, bb FROM ae33 WHERE bb > 10) b USING (row_id)", with_obs=False)
 def r27(spark, d):
     rows = table(spark, d, "ae33")

@@ -440,3 +440,39 @@ FORMATS: dict[str, Format] = {
         Format("noaa_mbl", r"(?i)\.(csv|txt)$", _STAMPED | {"value": "double"}, _noaa_mbl),
     )
 }
+
+
+#: Dataset names that go by another reader's name.
+OTHER_NAMES = {"tei49c": "thermo", "tei49i": "thermo", "49c": "thermo", "49i": "thermo", "ne-300": "ne300", "aurora": "aurora3000", "picarro": "g2401", "dobson": "d018"}
+
+
+def readers() -> dict[str, str]:
+    """Dataset name -> format name."""
+    return {n: n for n in FORMATS} | OTHER_NAMES
+
+
+def clean_avo(rows: DataFrame) -> DataFrame:
+    """AVO rows without columns that are blank, named ``slot.*`` or null throughout; times and sources stay.
+
+    Which columns are null throughout is one aggregate over all rows.
+    """
+    named = rows.select(*[c for c in rows.columns if c.strip() and not c.startswith("slot.")])
+    some = named.agg(*[F.max(F.col(f"`{c}`").isNotNull()).alias(c) for c in named.columns]).first()
+    return named.select(*[f"`{c}`" for c in named.columns if some[c] or c in ("dtm", "source")])
+
+
+def avo_parquet(rows: DataFrame) -> DataFrame:
+    """AVO rows of a Parquet file of any age: columns under their present names, types and time zone; particle counts as they are."""
+    held = {}
+    for c in rows.columns:
+        held.setdefault(AVO_NAMES.get(c, c), []).append(F.col(f"`{c}`"))
+    out = rows.select(*[F.coalesce(*x).alias(n) for n, x in held.items()])
+    out = out.withColumnRenamed("ts", "dtm") if "ts" in out.columns and "dtm" not in out.columns else out
+    typed = {c: F.col(c).try_cast(FORMATS["avo"].columns[c]) for c in out.columns if c in FORMATS["avo"].columns}
+    return clean_avo(out.withColumns(typed))
+
+
+def by_source(rows: DataFrame, column: str = "source") -> dict[str, DataFrame]:
+    """A frame per source, as filters on one scan; the names (one per sensor) are gathered first. Rows without a source have no frame."""
+    names = [r[0] for r in rows.filter(F.col(column).isNotNull()).select(column).distinct().toLocalIterator()]
+    return {n: rows.filter(F.col(column) == n) for n in sorted(names)}
