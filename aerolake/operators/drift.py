@@ -81,7 +81,7 @@ def path_statistics(files: DataFrame) -> DataFrame:
     letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
     form = F.translate("value", "0123456789", "9" * 10)
     stamp = F.when((F.length("value") >= 8) & form.rlike(r"^9{8,10}(?:\.9+)?$"), entry_kind(F.col("value")))
-    shape = F.translate(F.substring("form", 1, 40), letters, "a" * len(letters))
+    shape = F.translate("form", letters, "a" * len(letters))
     plain = F.col("value").try_cast("double")
     number = F.when(plain.isNotNull() & ~F.isnan(plain), plain).otherwise(F.regexp_extract("value", _NUM, 0).try_cast("double"))
     by_form = one.select("file_id", "name", form.alias("form"), stamp.alias("stamp"), "value", number.alias("x")).groupBy("file_id", "name", "form", "stamp").agg(F.count("*").alias("n"), F.count("x").alias("nx"), F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx"), F.min("value").alias("value"))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolake.operators.windows import interpolate, ordered
+from aerolake.operators.windows import interpolate_series, ordered
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -73,8 +73,7 @@ def over_background(fine: DataFrame, coarse: DataFrame, time: str, value: str, b
     both = fine.withColumn("_fine", F.lit(True)).join(coarse, [*keys, time], "full")
     if background in fine.columns:
         raise ValueError(f"{background!r} is in both tables")
-    w = ordered(keys, time)
-    both = both.withColumn("_b", interpolate(F.col(background), F.unix_micros(time).cast("double"), w))
+    both = interpolate_series(both, keys, time, background, "_b")
     return both.filter("_fine").withColumn(background, F.col("_b")).withColumn("delta", F.col(value) - F.col("_b")).drop("_fine", "_b")
 
 
@@ -87,3 +86,22 @@ def mean_of_available(*cols: Column) -> Column:
     """Mean of the values that aren't null in a row."""
     n = reduce(Column.__add__, [c.isNotNull().cast("int") for c in cols])
     return F.when(n > 0, reduce(Column.__add__, [F.coalesce(c, F.lit(0.0)) for c in cols]) / n)
+
+
+def positional(left: DataFrame, right: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Rows of two blocks of one file put side by side by their place in it: the n-th with the n-th, the longer block's rest alone.
+
+    ``keys`` name the file; places are counted per file in ``order``, which both have and which stays out. A column that both
+    have beside the keys is an error.
+    """
+    shared = set(left.columns) & set(right.columns) - {*keys, order}
+    if shared:
+        raise ValueError(f"in both blocks: {sorted(shared)}")
+    place = lambda df: df.withColumn("_place", F.row_number().over(ordered(keys, order))).drop(order)
+    a, b = place(left), place(right)
+    on = F.col("l._place") == F.col("r._place")
+    for k in keys:
+        on &= F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    both = a.alias("l").join(b.alias("r"), on, "full")
+    rest = [F.col(f"l.{c}") for c in left.columns if c not in (*keys, order)] + [F.col(f"r.{c}") for c in right.columns if c not in (*keys, order)]
+    return both.select(*[F.coalesce(f"l.{k}", f"r.{k}").alias(k) for k in keys], F.coalesce("l._place", "r._place").alias("place"), *rest)

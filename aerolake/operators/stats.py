@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -119,17 +120,26 @@ def drop_outliers(df: DataFrame, value: str, sd: str, keys: Sequence[str], sd_fa
 
     A null deviation stays; z uses mean and population deviation of what is left after the first step.
     """
-    w = Window.partitionBy(*keys)
-    first = df.withColumn("_s", F.avg(sd).over(w)).filter(F.col(sd).isNull() | (F.col(sd) <= sd_factor * F.col("_s"))).drop("_s")
-    scored = first.withColumn("_z", (F.col(value) - F.avg(value).over(w)) / F.nullif(F.stddev_pop(value).over(w), F.lit(0.0)))
-    return scored.filter(F.col("_z").isNull() | (F.abs("_z") < z)).drop("_z")
+    first = with_group(df, keys, {"_s": F.avg(sd)}).filter(F.col(sd).isNull() | (F.col(sd) <= sd_factor * F.col("_s"))).drop("_s")
+    scored = with_group(first, keys, {"_m": F.avg(value), "_d": F.stddev_pop(value)}).withColumn("_z", (F.col(value) - F.col("_m")) / F.nullif("_d", F.lit(0.0)))
+    return scored.filter(F.col("_z").isNull() | (F.abs("_z") < z)).drop("_z", "_m", "_d")
+
+
+def with_group(df: DataFrame, keys: Sequence[str], aggregates: dict[str, Column]) -> DataFrame:
+    """Rows with aggregates of their group: one row per group is made with partial aggregation and joined back, so a group with
+    much of all rows isn't one task's. Null keys are a group.
+    """
+    if not keys:
+        return with_scalars(df, df.agg(*[a.alias(n) for n, a in aggregates.items()]))
+    groups = df.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(*[a.alias(n) for n, a in aggregates.items()])
+    on = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
+    return df.join(groups, on).drop(*[f"_g_{k}" for k in keys])
 
 
 def clip_quantiles(df: DataFrame, value: str, q: float, keys: Sequence[str] = ()) -> DataFrame:
     """Values outside the quantiles q and 1 - q (linear) become null."""
-    w = Window.partitionBy(*keys)
     v = F.col(value)
-    return df.withColumns({"_lo": F.percentile(v, q).over(w), "_hi": F.percentile(v, 1 - q).over(w)}).withColumn(value, F.when(v.between(F.col("_lo"), F.col("_hi")), v)).drop("_lo", "_hi")
+    return with_group(df, keys, {"_lo": F.percentile(v, q), "_hi": F.percentile(v, 1 - q)}).withColumn(value, F.when(v.between(F.col("_lo"), F.col("_hi")), v)).drop("_lo", "_hi")
 
 
 def nearest_quantile(df: DataFrame, value: str, q: float, keys: Sequence[str] = ()) -> DataFrame:

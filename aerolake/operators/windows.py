@@ -9,6 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from aerolake.operators.chunks import chunked
+
+CHUNK = 20_000  # rows of a chunk
+
 
 def ordered(keys: Sequence[str], *order: str) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(*order)
@@ -51,9 +55,64 @@ def rolling_mean_centred(x: Column, w: WindowSpec, rows: int, least: int = 1) ->
     return F.when(F.count(x).over(frame) >= least, F.avg(x).over(frame))
 
 
-def rolling_quantile_centred(x: Column, w: WindowSpec, rows: int, q: float) -> Column:
-    """Quantile of ``rows`` rows around each; partial windows at the ends."""
-    return F.percentile(x, q).over(w.rowsBetween(-(rows // 2), rows - rows // 2 - 1))
+def rolling_quantile(df: DataFrame, keys: Sequence[str], time: str, order: str, x: str, rows: int, q: float, out: str) -> DataFrame:
+    """Adds the quantile of ``rows`` rows around each in order of time and a unique id; partial windows at the ends, nulls skipped.
+
+    Series are cut into chunks with the rows around them, so a series with much of all rows is spread over tasks, and a
+    window of thousands of rows is a partition of an array instead of a new sort per row. Rows without a time drop out.
+    """
+    names, half, after = df.columns, rows // 2, rows - rows // 2 - 1
+    typed = df.withColumns({"_us": F.unix_micros(time), "_x": F.col(x).cast("double")})
+    chunks = chunked(typed, list(keys), "_us", CHUNK, rows)
+    schema = chunks.select(*df.columns, F.lit(0.0).alias(out)).schema
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_us", order], kind="stable")
+        core = np.flatnonzero(pdf["core"].to_numpy(bool))
+        padded = np.concatenate([np.full(half, np.nan), pdf["_x"].to_numpy(float), np.full(after, np.nan)])
+        frames = np.lib.stride_tricks.sliding_window_view(padded, rows)
+        got = np.full(len(core), np.nan)
+        step = max(1, 4_000_000 // rows)
+        for a in range(0, len(core), step):
+            # sorted rows put NaN last, so the quantile's place follows from the count of numbers
+            part = np.sort(frames[core[a : a + step]], axis=1)
+            n = np.count_nonzero(~np.isnan(part), axis=1)
+            place = q * np.maximum(n - 1, 0)
+            low = np.floor(place).astype(int)
+            at = np.arange(len(part))
+            lo, hi = part[at, low], part[at, np.minimum(low + 1, np.maximum(n - 1, 0))]
+            got[a : a + step] = np.where(n > 0, lo + (hi - lo) * (place - low), np.nan)
+        kept = pdf.iloc[core]
+        return kept[names].assign(**{out: pd.arrays.FloatingArray(np.nan_to_num(got), np.isnan(got))})
+
+    return chunks.groupBy(*keys, "chunk").applyInPandas(run, schema)
+
+
+def interpolate_series(df: DataFrame, keys: Sequence[str], time: str, x: str, out: str) -> DataFrame:
+    """Adds ``x`` with its nulls interpolated along time; the ends stay null. As :func:`interpolate`, for series of any length.
+
+    A series is cut into chunks in order of time; each chunk's first and last known values are carried to the chunks around
+    it over one row per chunk, so no task holds a whole series. Rows without a time keep what they have.
+    """
+    keyed = df.withColumns({"_us": F.unix_micros(time)} | ({} if keys else {"_all": F.lit(0)}))
+    keys = list(keys) or ["_all"]
+    rows = chunked(keyed, keys, "_us", CHUNK, 0).drop("core", "n_total")
+    known = F.when(F.col(x).isNotNull(), F.struct(F.col("_us").alias("p"), F.col(x).alias("v")))
+    ends = rows.groupBy(*keys, "chunk").agg(F.min_by(known, F.when(F.col(x).isNotNull(), F.col("_us"))).alias("_first"), F.max_by(known, F.when(F.col(x).isNotNull(), F.col("_us"))).alias("_last"))
+    w = ordered(keys, "chunk")
+    before = F.last("_last", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    behind = F.first("_first", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    carried = ends.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("chunk").alias("_kc"), before.alias("_before"), behind.alias("_behind"))
+    on = F.col("chunk") == F.col("_kc")
+    for k in keys:
+        on &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    own = ordered([*keys, "chunk"], "_us")
+    left = F.coalesce(F.last(known, ignorenulls=True).over(own.rowsBetween(Window.unboundedPreceding, 0)), F.col("_before"))
+    right = F.coalesce(F.first(known, ignorenulls=True).over(own.rowsBetween(0, Window.unboundedFollowing)), F.col("_behind"))
+    both = rows.join(carried, on, "left").withColumns({"_l": left, "_r": right})
+    share = (F.col("_us") - F.col("_l.p")) / F.nullif((F.col("_r.p") - F.col("_l.p")).cast("double"), F.lit(0.0))
+    filled = both.withColumn(out, F.coalesce(F.col(x), F.col("_l.v") + (F.col("_r.v") - F.col("_l.v")) * share)).select(*df.columns, out)
+    return filled.unionByName(df.filter(F.col(time).isNull()).withColumn(out, F.col(x).cast("double")))
 
 
 def running_sum(x: Column, w: WindowSpec) -> Column:
@@ -137,17 +196,22 @@ def step_events(df: DataFrame, keys: Sequence[str], order: Sequence[str], x: str
     return out.withColumn("state", F.coalesce(F.last(F.when(F.col("event") != 0, F.col("event")), ignorenulls=True).over(up_to_here(w)), F.lit(0))).drop("_m", "_d", "_limit")
 
 
-def smooth_kernel(df: DataFrame, keys: Sequence[str], order: str, x: str, passes: int = 10) -> DataFrame:
-    """Repeated smoothing by the kernel 1/4, 1/2, 1/4 per profile, ends kept; one profile is one group."""
+def smooth_kernel(df: DataFrame, keys: Sequence[str], time: str, order: str, x: str, passes: int = 10) -> DataFrame:
+    """Adds ``smooth``: repeated smoothing by the kernel 1/4, 1/2, 1/4 per series in order of time and a unique id, ends kept.
+
+    A series is cut into chunks with as many rows around them as there are passes, which is as far as a value reaches.
+    """
+    names = df.columns
+    chunks = chunked(df.withColumn("_us", F.unix_micros(time)), list(keys), "_us", CHUNK, passes)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
+        pdf = pdf.sort_values(["_us", order], kind="stable")
         y = pdf[x].to_numpy(float)
         for _ in range(passes if len(y) > 2 else 0):
             y = np.concatenate([y[:1], (y[:-2] + 2 * y[1:-1] + y[2:]) / 4, y[-1:]])
-        return pdf.assign(smooth=y)
+        return pdf[names].assign(smooth=y)[pdf["core"].to_numpy(bool)]
 
-    return df.groupBy(*keys).applyInPandas(run, df.select("*", F.lit(0.0).alias("smooth")).schema)
+    return chunks.groupBy(*keys, "chunk").applyInPandas(run, df.select("*", F.lit(0.0).alias("smooth")).schema)
 
 
 def repair_meter_clock(df: DataFrame, keys: Sequence[str], time: str, order: str) -> DataFrame:

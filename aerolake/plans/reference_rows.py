@@ -68,9 +68,10 @@ def w09(spark, d):
     return rows.select("event_id", F.round(windows.interpolate(F.col("v"), F.col("us").cast("double"), by_user()), 5).alias("value"))
 
 
-@query("W10_background_quantile", "SELECT event_id, round(quantile_cont(value, 0.1) OVER (PARTITION BY event_type ORDER BY us, event_id ROWS BETWEEN 50 PRECEDING AND 50 FOLLOWING), 6) AS background FROM obs")
+@query("W10_background_quantile", "SELECT event_id, round(quantile_cont(value, 0.1) OVER (PARTITION BY event_type ORDER BY us, event_id ROWS BETWEEN 540 PRECEDING AND 539 FOLLOWING), 6) AS background FROM obs")
 def w10(spark, d):
-    return obs(spark, d).select("event_id", r6(windows.rolling_quantile_centred(F.col("value"), by_type(), 101, 0.1)).alias("background"))
+    """1080 rows: 45 days of hours."""
+    return windows.rolling_quantile(obs(spark, d).select("event_id", "event_type", "dtm", "value"), ["event_type"], "dtm", "event_id", "value", 1080, 0.1, "background").select("event_id", r6("background").alias("background"))
 
 
 STEPS = """+m AS (SELECT *, quantile_cont(COLUMN, 0.5) OVER (PARTITION BY event_type ORDER BY us, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS md FROM obs),
@@ -117,10 +118,13 @@ def w16(spark, d):
     return windows.trapezoid_sum(rows, ["user_id"], ["us", "event_id"], "value", "hours").select("event_id", F.round("integral", 4).alias("integral"))
 
 
-@query("W18_smooth_kernel")
+_PASSES = "".join(f", s{i} AS (SELECT event_id, event_type, us, CASE WHEN lag(y) OVER w IS NULL OR lead(y) OVER w IS NULL THEN y ELSE (lag(y) OVER w + 2 * y + lead(y) OVER w) / 4 END AS y FROM s{i - 1} WINDOW w AS (PARTITION BY event_type ORDER BY us, event_id))" for i in range(1, 11))
+
+
+@query("W18_smooth_kernel", f"+s0 AS (SELECT event_id, event_type, us, value AS y FROM obs){_PASSES} SELECT event_id, round(y, 6) AS smooth FROM s10")
 def w18(spark, d):
-    rows = obs(spark, d).select("event_type", "us", "event_id", "value")
-    return windows.smooth_kernel(rows, ["event_type"], "us", "value").select("event_id", r6("smooth").alias("smooth"))
+    rows = obs(spark, d).select("event_type", "dtm", "event_id", "value")
+    return windows.smooth_kernel(rows, ["event_type"], "dtm", "event_id", "value").select("event_id", r6("smooth").alias("smooth"))
 
 
 # --- order and limits --------------------------------------------------------------------------------------------------------

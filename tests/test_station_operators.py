@@ -171,8 +171,8 @@ def test_windows_and_profiles(spark, at):
     t = [at("2020-01-01 00:00:00"), at("2020-01-02 01:00:00"), at("2020-01-02 02:00:00")]
     fixed = windows.repair_meter_clock(spark.createDataFrame([("m", i, x) for i, x in enumerate(t)], "k string, i int, t timestamp"), ["k"], "t", "i").orderBy("i").collect()
     assert str(fixed[1].t) == "2020-01-01 13:00:00"
-    x = spark.createDataFrame([("a", i, float(v)) for i, v in enumerate([0, 0, 4, 0, 0])], "k string, i int, v double")
-    assert [r.smooth for r in windows.smooth_kernel(x, ["k"], "i", "v", 1).orderBy("i").collect()] == [0, 1, 2, 1, 0]
+    x = spark.createDataFrame([("a", i, float(v)) for i, v in enumerate([0, 0, 4, 0, 0])], "k string, i int, v double").withColumn("t", F.timestamp_seconds("i"))
+    assert [r.smooth for r in windows.smooth_kernel(x, ["k"], "t", "i", "v", 1).orderBy("i").collect()] == [0, 1, 2, 1, 0]
 
 
 def test_curve_fit_finds_trend_and_season(spark):
@@ -263,3 +263,65 @@ def test_submission_lines_of_every_event(spark, at, tmp_path):
     assert sorted(got) == [f"MKN 2024 1 1 0 {i} 0 0 {g(i, 1 / 7)} -99.9 {g(i, 1e4)} {g(i, 1e-6)} -99.9 {g(i, -1)} {spot}" for i in range(6)]
     df = spark.createDataFrame([(at("2024-01-01"), 187, 1.0), (at("2024-01-02"), 999, 2.0), (at("2024-01-03"), None, 3.0)], "dtm timestamp, iii int, v double")
     assert [r.line for r in wdcgg_lines(df, "dtm", "iii", {"v": "wind_speed"}).collect()] == [f"MKN 2024 1 1 0 0 0 1 {spot}"]  # no unmapped station
+
+
+def test_chunks_hold_their_neighbours(spark):
+    import random
+
+    from aerolake.operators.chunks import chunked
+
+    rng = random.Random(3)
+    rows, us = [], 0
+    for i in range(3000):
+        us += rng.choice([0, 0, 1, 1, 1, 2, 400])  # buckets of one row and of many
+        us += 0 if 1000 < i < 1150 else 1  # and a giant one
+        rows.append((i, us * 1_000_000, "k" if i % 11 else None))
+    df = spark.createDataFrame(rows, "i long, us long, key string")
+    for size, halo in ((40, 10), (100, 3), (12, 9)):  # the second way, and the one for chunks that are short against the halo
+        got = chunked(df, ["key"], "us", size, halo, bucket_s=3).toPandas()
+        assert len(got[got.core]) == 3000 and got[got.core].i.is_unique
+        for _, series in got.groupby("key", dropna=False):
+            order = series[series.core].sort_values(["us", "i"]).i.tolist()
+            place = {x: n for n, x in enumerate(order)}
+            for _, chunk in series.groupby("chunk"):
+                core = sorted(place[x] for x in chunk.i[chunk.core])
+                if core:
+                    held = {place[x] for x in chunk.i}
+                    assert held >= set(range(max(0, core[0] - halo), min(len(order), core[-1] + 1 + halo)))
+                    assert core == list(range(core[0], core[-1] + 1))
+
+
+def test_positional_join(spark):
+    a = spark.createDataFrame([("f", 5, 1), ("f", 7, 2), ("g", 1, 3), (None, 1, 9)], "file string, line int, x int")
+    b = spark.createDataFrame([("f", 1, "a"), ("f", 2, "b"), ("f", 3, "c"), (None, 4, "n")], "file string, line int, v string")
+    from aerolake.operators import joins
+
+    assert sorted(joins.positional(a, b, ["file"], "line").collect(), key=str) == sorted([("f", 1, 1, "a"), ("f", 2, 2, "b"), ("f", 3, None, "c"), ("g", 1, 3, None), (None, 1, 9, "n")], key=str)
+    with pytest.raises(ValueError):
+        joins.positional(a, a, ["file"], "line")
+
+
+def test_series_in_chunks_equal_whole_ones(spark, monkeypatch):
+    import numpy as np
+
+    from aerolake.operators import windows
+
+    monkeypatch.setattr(windows, "CHUNK", 50)
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=400)
+    x[rng.random(400) < 0.3] = np.nan
+    x[:3] = np.nan
+    rows = [(i, None if np.isnan(v) else float(v)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "i int, v double").selectExpr("i", "timestamp_seconds(i * 1000) as t", "v")
+    got = windows.rolling_quantile(df.selectExpr("'a' as k", "*"), ["k"], "t", "i", "v", 12, 0.25, "q")
+    want = [np.nanquantile(w, 0.25) if (~np.isnan(w := x[max(0, i - 6) : i + 6])).any() else None for i in range(400)]
+    assert np.allclose([np.nan if r.q is None else r.q for r in got.orderBy("i").collect()], [np.nan if w is None else w for w in want], equal_nan=True)
+    known = np.flatnonzero(~np.isnan(x))
+    line = [np.interp(i, known, x[known]) if known[0] <= i <= known[-1] else np.nan for i in range(400)]
+    out = windows.interpolate_series(df, [], "t", "v", "y").orderBy("i").collect()
+    assert np.allclose([np.nan if r.y is None else r.y for r in out], line, equal_nan=True)
+    y = np.arange(400.0) % 7
+    series = spark.createDataFrame([(i, float(v)) for i, v in enumerate(y)], "i int, v double").selectExpr("'a' as k", "i", "timestamp_seconds(i * 1000) as t", "v")
+    for _ in range(10):
+        y = np.concatenate([y[:1], (y[:-2] + 2 * y[1:-1] + y[2:]) / 4, y[-1:]])
+    assert np.allclose([r.smooth for r in windows.smooth_kernel(series, ["k"], "t", "i", "v").orderBy("i").collect()], y)
