@@ -7,23 +7,28 @@ marked, again and again, until none is long enough. Tiles are compared word by w
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from aerolake.functions.frames import typed_frame
+from aerolake.session import materialize
 
 WORD = re.compile(r"[^\W_]+")
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier of the rolling hash
 SENT_WORDS = 2_000_000  # words of test items that are sent to the workers; beyond it the seeds are joined by a shuffle
 BLOCK_CHARS = 4_000_000
 KNOWN_WORDS = 1_000_000
+PAIR_BLOCK = 2_000_000  # pairs of equal windows looked at together
+BLOOM_BITS = 26  # the filter sent to workers has 2^26 bits (8 MB), whatever the items
 
 PAIRS = "doc_id long, item_id long, longest int, n_tiles int, coverage double"
 
@@ -54,38 +59,62 @@ class _Codes(dict):
         return code
 
 
+def match_runs(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """All maximal runs of equal words: (place in doc, place in item, length), of at least ``least`` words.
+
+    Windows of ``least`` words are compared by their rolling hashes; a run begins at a pair of equal windows whose neighbours
+    before differ, and ends at one whose neighbours behind do. Pairs are made block by block, and only beginnings and ends
+    are kept, so a text of one repeated word takes time but no memory.
+    """
+    hd, hi = window_hashes(doc, least), window_hashes(item, least)
+    if not len(hd) or not len(hi):
+        return []
+    order = np.argsort(hi, kind="stable")
+    ranked = hi[order]
+    low = np.searchsorted(ranked, hd, "left")
+    many = np.searchsorted(ranked, hd, "right") - low
+    at = np.flatnonzero(many)
+    if not len(at):
+        return []
+    block = np.cumsum(many[at]) // PAIR_BLOCK
+    heads, tails = [], []
+    for part in np.split(at, np.flatnonzero(np.diff(block)) + 1):
+        n = many[part]
+        d = np.repeat(part, n)
+        i = order[np.repeat(low[part], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        goes_back = (d > 0) & (i > 0) & (hd[np.maximum(d - 1, 0)] == hi[np.maximum(i - 1, 0)])
+        goes_on = (d + 1 < len(hd)) & (i + 1 < len(hi)) & (hd[np.minimum(d + 1, len(hd) - 1)] == hi[np.minimum(i + 1, len(hi) - 1)])
+        heads.append(np.column_stack([d - i, d])[~goes_back])
+        tails.append(np.column_stack([d - i, d])[~goes_on])
+    # on each diagonal beginnings and ends alternate
+    head, tail = (x[np.lexsort((x[:, 1], x[:, 0]))] for x in (np.concatenate(heads), np.concatenate(tails)))
+    runs = [(int(d), int(d - diagonal), int(e - d) + least) for (diagonal, d), (_, e) in zip(head, tail, strict=True)]
+    return [(d, i, n) for d, i, n in runs if np.array_equal(doc[d : d + n], item[i : i + n])]
+
+
 def tiles(doc: list[str], item: list[str], least: int) -> list[tuple[int, int, int]]:
     """Greedy string tiling: (place in doc, place in item, length) of the longest matches, none overlapping another.
 
-    Ties go to the match that comes first in the document, then in the item.
+    The longest run whose words are all unmarked is marked, again and again; what marks leave of a run of at least ``least``
+    words is a run again. Ties go to the match that comes first in the document, then in the item.
     """
-    places: dict[tuple[str, ...], list[int]] = {}
-    for i in range(len(item) - least + 1):
-        places.setdefault(tuple(item[i : i + least]), []).append(i)
-    seeds = [(d, i) for d in range(len(doc) - least + 1) if (hit := places.get(tuple(doc[d : d + least]))) for i in hit]
-    used_d, used_i, out = set(), set(), []
-    while seeds:
-        best, open_seeds, seen = (0, 0, 0), [], set()
-        for d, i in seeds:
-            if any(d + j in used_d or i + j in used_i for j in range(least)):
-                continue
-            open_seeds.append((d, i))
-            if (d - 1, i - 1) in seen:  # inside a longer match that began earlier
-                seen.add((d, i))
-                continue
-            seen.add((d, i))
-            n = least
-            while d + n < len(doc) and i + n < len(item) and doc[d + n] == item[i + n] and d + n not in used_d and i + n not in used_i:
-                n += 1
-            if n > best[0]:
-                best = (n, d, i)
-        if not best[0]:
-            break
-        n, d, i = best
-        out.append((d, i, n))
-        used_d.update(range(d, d + n))
-        used_i.update(range(i, i + n))
-        seeds = open_seeds
+    known: dict[str, int] = {}
+    coded = [np.array([known.setdefault(w, xxh3_64_intdigest(w)) for w in ws], np.uint64) for ws in (doc, item)]
+    heap = [(-n, d, i) for d, i, n in match_runs(*coded, least)]
+    heapq.heapify(heap)
+    used_d, used_i, out = np.zeros(len(doc), bool), np.zeros(len(item), bool), []
+    while heap:
+        n, d, i = heapq.heappop(heap)
+        n = -n
+        taken = used_d[d : d + n] | used_i[i : i + n]
+        if not taken.any():
+            out.append((d, i, n))
+            used_d[d : d + n] = used_i[i : i + n] = True
+            continue
+        edges = np.flatnonzero(np.diff(np.concatenate([[True], taken, [True]]).astype(np.int8)))
+        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            if b - a >= least:
+                heapq.heappush(heap, (a - b, d + a, i + a))
     return out
 
 
@@ -152,7 +181,8 @@ def find_leaks(documents: DataFrame, items: DataFrame, least: int = 13, sent_wor
 
     Scale: one pass over the documents without a shuffle while the items have at most ``sent_words`` words (counted
     first). Beyond it the items' windows are a table and the documents' windows are joined to it by hash; windows that
-    no item has drop out in the join, pairs are made distinct, and only their texts meet again for the tiling.
+    no item has are dropped by 8 MB of bits before the shuffle, and exactly in the join; pairs are made distinct, and only
+    their texts meet again for the tiling.
     """
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -180,16 +210,28 @@ def find_leaks(documents: DataFrame, items: DataFrame, least: int = 13, sent_wor
 
         return docs.mapInArrow(scan, PAIRS)
 
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes = _Codes()
-        for pdf in batches:
-            key, texts = pdf.iloc[:, 0].to_numpy(), pdf.iloc[:, 1].tolist()
-            for a, b in _blocks(texts):
-                _, h, owner = _windows(texts[a:b], least, codes)
-                yield pd.DataFrame({"key": key[a:b][owner], "h": h.view(np.int64)}).drop_duplicates()
-
-    item_windows = tests.mapInPandas(hashed, "key long, h long").select(F.col("key").alias("item_id"), "h")
-    doc_windows = docs.mapInPandas(hashed, "key long, h long").select(F.col("key").alias("doc_id"), "h")
+    def hashed(bits: Broadcast | None):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            codes = _Codes()
+            for pdf in batches:
+                key, texts = pdf.iloc[:, 0].to_numpy(), pdf.iloc[:, 1].tolist()
+                for a, b in _blocks(texts):
+                    _, h, owner = _windows(texts[a:b], least, codes)
+                    if bits is not None:
+                        place = (h >> np.uint64(64 - BLOOM_BITS)).astype(np.int64)
+                        asked = ((bits.value[place >> 5] >> (place & 31).astype(np.uint32)) & 1).astype(bool)
+                        h, owner = h[asked], owner[asked]
+                    yield pd.DataFrame({"key": key[a:b][owner], "h": h.view(np.int64)}).drop_duplicates()
+
+        return run
+
+    item_windows = materialize(tests.mapInPandas(hashed(None), "key long, h long").select(F.col("key").alias("item_id"), "h"), "windows")
+    place = F.shiftrightunsigned("h", 64 - BLOOM_BITS)
+    words_of = item_windows.select(F.shiftright(place, 5).cast("int").alias("word"), place.bitwiseAND(31).cast("int").alias("bit")).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    bits = np.zeros(1 << (BLOOM_BITS - 5), np.uint32)
+    for r in words_of.toLocalIterator():
+        bits[r["word"]] = r["bits"]
+    doc_windows = docs.mapInPandas(hashed(spark.sparkContext.broadcast(bits)), "key long, h long").select(F.col("key").alias("doc_id"), "h")
     pairs = doc_windows.join(item_windows, "h").select("doc_id", "item_id").distinct()
 
     def tile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

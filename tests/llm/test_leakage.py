@@ -73,3 +73,35 @@ def test_tiles_are_greedy_and_disjoint(doc, item):
     assert all(doc[d : d + n] == item[i : i + n] for d, i, n in got)
     longest = max((n for n in range(len(item) + 1) for i in range(len(item) - n + 1) if n and any(doc[d : d + n] == item[i : i + n] for d in range(len(doc) - n + 1))), default=0)
     assert (got[0][2] if got else 0) == (longest if longest >= 2 else 0)
+
+
+def test_repeated_words_and_tiles_against_brute_force():
+    from aerolake.llm import leakage
+
+    def brute_tiles(doc, item, least):
+        used_d, used_i, out = set(), set(), []
+        while True:
+            best = (0, 0, 0)
+            for d in range(len(doc)):
+                for i in range(len(item)):
+                    n = 0
+                    while d + n < len(doc) and i + n < len(item) and doc[d + n] == item[i + n] and d + n not in used_d and i + n not in used_i:
+                        n += 1
+                    if n > best[2]:
+                        best = (d, i, n)
+            if best[2] < least:
+                return out
+            d, i, n = best
+            out.append(best)
+            used_d |= set(range(d, d + n))
+            used_i |= set(range(i, i + n))
+
+    rng = random.Random(2)
+    for block in (2_000_000, 5):  # pairs in one block, and in many
+        leakage.PAIR_BLOCK = block
+        for _ in range(150):
+            a, b = ([rng.choice("abc"[: rng.choice((1, 3))]) for _ in range(rng.randrange(0, 25))] for _ in range(2))
+            least = rng.randrange(1, 5)
+            assert tiles(a, b, least) == brute_tiles(a, b, least)
+    leakage.PAIR_BLOCK = 2_000_000
+    assert tiles(["a"] * 3000, ["a"] * 3000, 13) == [(0, 0, 3000)]
