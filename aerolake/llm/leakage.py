@@ -10,6 +10,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -59,18 +60,33 @@ class _Codes(dict):
         return code
 
 
-def match_runs(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+class Coded:
+    """A text as word codes, with the hashes of its windows and their order, made once and when first needed."""
+
+    def __init__(self, codes: np.ndarray, least: int):
+        self.codes, self.least = codes, least
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return window_hashes(self.codes, self.least)
+
+    @cached_property
+    def ranked(self) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(self.hashes, kind="stable")
+        return order, self.hashes[order]
+
+
+def match_runs(doc: Coded, item: Coded) -> list[tuple[int, int, int]]:
     """All maximal runs of equal words: (place in doc, place in item, length), of at least ``least`` words.
 
     Windows of ``least`` words are compared by their rolling hashes; a run begins at a pair of equal windows whose neighbours
     before differ, and ends at one whose neighbours behind do. Pairs are made block by block, and only beginnings and ends
     are kept, so a text of one repeated word takes time but no memory.
     """
-    hd, hi = window_hashes(doc, least), window_hashes(item, least)
+    hd, hi, least = doc.hashes, item.hashes, doc.least
     if not len(hd) or not len(hi):
         return []
-    order = np.argsort(hi, kind="stable")
-    ranked = hi[order]
+    order, ranked = item.ranked
     low = np.searchsorted(ranked, hd, "left")
     many = np.searchsorted(ranked, hd, "right") - low
     at = np.flatnonzero(many)
@@ -89,7 +105,7 @@ def match_runs(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int,
     # on each diagonal beginnings and ends alternate
     head, tail = (x[np.lexsort((x[:, 1], x[:, 0]))] for x in (np.concatenate(heads), np.concatenate(tails)))
     runs = [(int(d), int(d - diagonal), int(e - d) + least) for (diagonal, d), (_, e) in zip(head, tail, strict=True)]
-    return [(d, i, n) for d, i, n in runs if np.array_equal(doc[d : d + n], item[i : i + n])]
+    return [(d, i, n) for d, i, n in runs if np.array_equal(doc.codes[d : d + n], item.codes[i : i + n])]
 
 
 def tiles(doc: list[str], item: list[str], least: int) -> list[tuple[int, int, int]]:
@@ -98,11 +114,18 @@ def tiles(doc: list[str], item: list[str], least: int) -> list[tuple[int, int, i
     The longest run whose words are all unmarked is marked, again and again; what marks leave of a run of at least ``least``
     words is a run again. Ties go to the match that comes first in the document, then in the item.
     """
-    known: dict[str, int] = {}
-    coded = [np.array([known.setdefault(w, xxh3_64_intdigest(w)) for w in ws], np.uint64) for ws in (doc, item)]
-    heap = [(-n, d, i) for d, i, n in match_runs(*coded, least)]
+    codes = _Codes()
+    return tile_runs(*[Coded(np.array([codes[w] for w in ws], np.uint64), least) for ws in (doc, item)])
+
+
+def tile_runs(doc: Coded, item: Coded) -> list[tuple[int, int, int]]:
+    """As :func:`tiles`, of coded texts."""
+    least = doc.least
+    heap = [(-n, d, i) for d, i, n in match_runs(doc, item)]
+    if len(heap) == 1:
+        return [(heap[0][1], heap[0][2], -heap[0][0])]
     heapq.heapify(heap)
-    used_d, used_i, out = np.zeros(len(doc), bool), np.zeros(len(item), bool), []
+    used_d, used_i, out = np.zeros(len(doc.codes), bool), np.zeros(len(item.codes), bool), []
     while heap:
         n, d, i = heapq.heappop(heap)
         n = -n
@@ -118,20 +141,20 @@ def tiles(doc: list[str], item: list[str], least: int) -> list[tuple[int, int, i
     return out
 
 
-def _tile_pair(doc_id: int, doc: list[str], item_id: int, item: list[str], least: int) -> tuple:
-    got = tiles(doc, item, least)
-    return doc_id, item_id, max((n for *_, n in got), default=0), len(got), sum(n for *_, n in got) / max(len(item), 1)
+def _tile_pair(doc_id: int, doc: Coded, item_id: int, item: Coded) -> tuple:
+    got = tile_runs(doc, item)
+    return doc_id, item_id, max((n for *_, n in got), default=0), len(got), sum(n for *_, n in got) / max(len(item.codes), 1)
 
 
 class _Seeds:
     """Sorted window hashes of the test items."""
 
     def __init__(self, items: list[tuple[int, list[str]]], k: int):
-        self.k, self.words = k, dict(items)
         codes = _Codes()
+        self.k, self.items = k, {i: Coded(np.array([codes[x] for x in w], np.uint64), k) for i, w in items}
         hashes, owners = [], []
-        for item_id, w in items:
-            h = np.unique(window_hashes(np.array([codes[x] for x in w], np.uint64), k))
+        for item_id, item in self.items.items():
+            h = np.unique(item.hashes)
             hashes.append(h)
             owners.append(np.full(len(h), item_id, np.int64))
         h, o = (np.concatenate(hashes), np.concatenate(owners)) if hashes else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
@@ -149,15 +172,15 @@ class _Seeds:
         return np.repeat(at, many), self.owners[np.repeat(low, many) + within]
 
 
-def _windows(texts: list[str | None], k: int, codes: _Codes) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
-    """Words, window hashes and the text each window belongs to; no window spans two texts."""
+def _windows(texts: list[str | None], k: int, codes: _Codes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Word codes of each text, window hashes and the text each window belongs to; no window spans two texts."""
     split = [words(t) for t in texts]
     size = np.array([len(w) for w in split])
     flat = np.fromiter((codes[w] for ws in split for w in ws), np.uint64, int(size.sum()))
     h = window_hashes(flat, k)
     owner = np.repeat(np.arange(len(split)), size)
     same = owner[: len(h)] == owner[k - 1 :] if len(h) else np.zeros(0, bool)
-    return split, h[same], owner[: len(h)][same]
+    return np.split(flat, np.cumsum(size)[:-1]) if len(split) else [], h[same], owner[: len(h)][same]
 
 
 def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -204,8 +227,10 @@ def find_leaks(documents: DataFrame, items: DataFrame, least: int = 13, sent_wor
                 for a, b in _blocks(texts):
                     split, h, owner = _windows(texts[a:b], least, codes)
                     at, item = seeds.hits(h)
+                    coded: dict[int, Coded] = {}
                     for d, i in sorted(set(zip(owner[at].tolist(), item.tolist(), strict=True))):
-                        rows.append(_tile_pair(ids[a + d], split[d], i, seeds.words[i], least))
+                        doc = coded.setdefault(d, Coded(split[d], least))
+                        rows.append(_tile_pair(ids[a + d], doc, i, seeds.items[i]))
                 yield pa.RecordBatch.from_pandas(tiled(rows), preserve_index=False)
 
         return docs.mapInArrow(scan, PAIRS)
@@ -235,8 +260,10 @@ def find_leaks(documents: DataFrame, items: DataFrame, least: int = 13, sent_wor
     pairs = doc_windows.join(item_windows, "h").select("doc_id", "item_id").distinct()
 
     def tile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codes = _Codes()
+        coded = lambda t: Coded(np.array([codes[w] for w in words(t)], np.uint64), least)
         for pdf in batches:
-            yield tiled([_tile_pair(d, words(t), i, words(p), least) for d, t, i, p in zip(pdf["doc_id"], pdf["text"], pdf["item_id"], pdf["passage"], strict=True)])
+            yield tiled([_tile_pair(d, coded(t), i, coded(p)) for d, t, i, p in zip(pdf["doc_id"], pdf["text"], pdf["item_id"], pdf["passage"], strict=True)])
 
     return pairs.join(docs, "doc_id").join(tests, "item_id").select("doc_id", "text", "item_id", "passage").mapInPandas(tile, PAIRS)
 
