@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -64,6 +65,11 @@ def drop_empty_columns(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if counts[c]])
 
 
+def drop_empty_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Without the rows in which all of ``columns`` are null or NaN."""
+    return df.dropna(how="all", subset=list(columns))
+
+
 def rename_suffixes(df: DataFrame, suffixes: tuple[str, ...] = ("s0", "z0"), to: str = "h0") -> DataFrame:
     """Columns that end with one of the suffixes, renamed."""
     return df.withColumnsRenamed({c: c[: -len(s)] + to for c in df.columns for s in suffixes if c.endswith(s)})

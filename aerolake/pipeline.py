@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from aerolake.operators import aggregate, availability, windows
 from aerolake.operators.columns import find_time_column
 from aerolake.operators.merge import relaxed_scan
+from aerolake.session import filesystem
 from aerolake.sources.files import read_format
 from aerolake.sources.formats import FORMATS
 from aerolake.sources.sinks import merge_into, write_dashboard, write_level2
@@ -56,11 +57,24 @@ class RunReport:
         return "\n".join([*(f"{k}: {n} rows" for k, n in self.rows.items()), *(f"{k}: failed: {e}" for k, e in self.errors.items())])
 
 
-def discover(level1: str, instrument: str) -> list[str]:
-    """Parquet files or folders of an instrument below a Level 1 folder: itself, a sub-folder, or the last part of a name."""
-    root = Path(level1)
+def discover(spark: SparkSession, level1: str, instrument: str) -> list[str]:
+    """Parquet files or folders of an instrument below a Level 1 folder: itself, a sub-folder, or the last part of a name.
+
+    The folder may lie on any file system that Spark reads. A found folder is one entry; what is below it isn't searched.
+    """
     names = dict.fromkeys([instrument, instrument.replace("/", "-"), instrument.rsplit("/", 1)[-1]])
-    return sorted({str(p) for n in names for p in [*root.rglob(f"{n}.parquet"), root / n] if p.exists()})
+    fs, root = filesystem(spark, level1)
+    direct = [f"{level1.rstrip('/')}/{n}" for n in names]
+    found = {p for p in direct if fs.exists(filesystem(spark, p)[1])}
+    wanted = {f"{n.rsplit('/', 1)[-1]}.parquet" for n in names}
+    folders = [root] if fs.exists(root) else []
+    while folders:
+        for s in fs.listStatus(folders.pop()):
+            if s.getPath().getName() in wanted:
+                found.add(s.getPath().toUri().getPath() if "://" not in level1 else str(s.getPath()))
+            elif s.isDirectory():
+                folders.append(s.getPath())
+    return sorted(found)
 
 
 def run_station(spark: SparkSession, station: str, instruments: Sequence[InstrumentConfig], level1: str, target: str, write: bool = False) -> RunReport:
@@ -68,7 +82,7 @@ def run_station(spark: SparkSession, station: str, instruments: Sequence[Instrum
     report = RunReport()
     for ins in instruments:
         try:
-            paths = discover(level1, ins.name)
+            paths = discover(spark, level1, ins.name)
             if not paths:
                 raise FileNotFoundError(f"no files of {ins.name} in {level1}")
             rows = relaxed_scan(spark, paths)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aerolake.operators import compaction, drift, gridding, outliers, rejects, units
 from aerolake.session import table
@@ -13,8 +14,10 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_harvest(spark: SparkSession, d: str) -> DataFrame:
-    """The harvested records, as the committed files hold them."""
-    return compaction.compact(table(spark, d, "level1_fragments")).records(spark).selectExpr("device", "instrument", "dtm", "to_json(cells) as cells")
+    """The harvested records, as the committed files hold them; the instruments' own columns."""
+    records = compaction.compact(table(spark, d, "level1_fragments")).records(spark)
+    held = set(records.select("cells.*").columns)
+    return records.select("device", "instrument", F.unix_micros("dtm").alias("us"), *[(F.col(f"cells.{c}") if c in held else F.lit(None)).cast("double").alias(c) for c in HARVESTED])
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -57,10 +60,43 @@ def p7_series(spark: SparkSession, d: str) -> DataFrame:
     return gridding.regularize(gridding.station_series(table(spark, d, "ae33"), table(spark, d, "avo_fidas_ae3x")), table(spark, d, "devices"))
 
 
+HARVESTED = ("bb", "bc6", "flowa", "flowc", "o3", "pres", "pressure", "rh", "sample_temp", "t", "td")
+
 QUERIES = {f.__name__: f for f in (p1_found, p1_harvest, p3_found, p3_loaded, p4_found, p4_common, p5_found, p6_found, p6_table, p6_failed_casts, p7_found, p7_series)}
 
 #: The same rows in SQL, where it expresses the operator: record keys from text, line rules by patterns, slots by an anti-join.
+_RECORDS = r"""
+        WITH f AS (SELECT fragment_id, device, instrument, string_split_regex(content, '\r?\n') AS l FROM level1_fragments WHERE content IS NOT NULL),
+        r AS (SELECT fragment_id, device, instrument, list_transform(string_split(l[1], ','), lambda x: lower(trim(x))) AS names, unnest(l[2:]) AS line FROM f),
+        v AS (SELECT fragment_id, device, instrument, names, string_split(line, ',') AS v FROM r WHERE trim(line) <> ''),
+        k AS (
+            SELECT fragment_id, device, instrument, epoch_us(CAST(v[list_position(names, 'dtm')] || CASE WHEN regexp_matches(v[list_position(names, 'dtm')], '(Z|[+-][0-9]{2}:[0-9]{2})$') THEN '' ELSE 'Z' END AS TIMESTAMPTZ)) AS us, COLUMNS_
+            FROM v)
+        SELECT device, arg_min(instrument, fragment_id) AS instrument, us, NAMES_ FROM k GROUP BY device, us, NAMES_
+    """
+_READINGS = """
+        WITH r AS (
+            SELECT 'thermo.o3' AS field, device, row_id, epoch_us(dtm) AS us, o3 AS v FROM thermo WHERE coalesce(f_o3 NOT IN (3, 4), true)
+            UNION ALL SELECT 'thermo.flowa', device, row_id, epoch_us(dtm), flowa FROM thermo
+            UNION ALL SELECT 'ae33.bc6', inst_sn, row_id, epoch_us(dtm), bc6 FROM ae33),
+        a AS (SELECT *, coalesce(lag(us) OVER w = us AND lag(v) OVER w = v, false) AS again, coalesce(lag(v) OVER w <> v, true) AS moves FROM r WHERE v IS NOT NULL AND NOT isnan(v) AND us IS NOT NULL WINDOW w AS (PARTITION BY field, device ORDER BY us, row_id)),
+        o AS (SELECT *, sum((NOT again)::INTEGER) OVER w - 1 AS i, sum(moves::INTEGER) OVER w AS run FROM a WINDOW w AS (PARTITION BY field, device ORDER BY us, row_id)),
+        b AS (SELECT field, device, i, v, max(i) OVER (PARTITION BY field, device) AS n FROM o WHERE NOT again),
+        -- the series mirrored at its ends
+        p AS (SELECT field, device, i, v, true AS own FROM b UNION ALL SELECT field, device, -i, v, false FROM b WHERE i BETWEEN 1 AND 15 UNION ALL SELECT field, device, 2 * n - i, v, false FROM b WHERE n - i BETWEEN 1 AND 15),
+        c AS (SELECT *, v - quantile_disc(v, 0.5) OVER (PARTITION BY field, device ORDER BY i ROWS BETWEEN 15 PRECEDING AND 15 FOLLOWING) AS resid FROM p),
+        s AS (SELECT field, device, CASE WHEN quantile_disc(abs(resid), 0.5) > 0 THEN 1.4826 * quantile_disc(abs(resid), 0.5) ELSE 1.2533 * avg(abs(resid)) END AS scatter FROM c WHERE own GROUP BY 1, 2),
+        d AS (SELECT c.field, c.device, i, resid / nullif(scatter, 0) AS away, CASE WHEN abs(resid / nullif(scatter, 0)) > 5 THEN sign(resid) ELSE 0 END AS side FROM c JOIN s ON c.field = s.field AND c.device IS NOT DISTINCT FROM s.device WHERE own),
+        e AS (SELECT *, sum(turn) OVER (PARTITION BY field, device ORDER BY i) AS stretch FROM (SELECT *, (lag(side) OVER (PARTITION BY field, device ORDER BY i) IS DISTINCT FROM side)::INTEGER AS turn FROM d)),
+        g AS (SELECT field, device, i, side <> 0 AND count(*) OVER w <= 3 AND min(abs(away)) OVER w > 10 AS spike FROM e WINDOW w AS (PARTITION BY field, device, stretch))
+        SELECT o.field, o.row_id FROM (SELECT *, count(*) OVER (PARTITION BY field, device, run) AS length FROM o) o JOIN g ON o.field = g.field AND o.device IS NOT DISTINCT FROM g.device AND o.i = g.i
+        WHERE spike OR length >= 10 OR v < CASE o.field WHEN 'thermo.o3' THEN -20 WHEN 'thermo.flowa' THEN 0 ELSE -20000 END OR v > CASE o.field WHEN 'thermo.o3' THEN 500 WHEN 'thermo.flowa' THEN 5 ELSE 100000 END
+    """
+_CELLS = ", ".join(f"TRY_CAST(v[list_position(names, '{c}')] AS DOUBLE) AS {c}" for c in HARVESTED)
+
 SQL = {
+    "p1_harvest": _RECORDS.replace("COLUMNS_", _CELLS).replace("NAMES_", ", ".join(HARVESTED)),
+    "p5_found": _READINGS,
     "p1_found": r"""
         WITH f AS (SELECT fragment_id, device, string_split_regex(content, '\r?\n') AS l FROM level1_fragments WHERE content IS NOT NULL),
         r AS (SELECT fragment_id, device, list_transform(string_split(l[1], ','), lambda x: lower(trim(x))) AS names, unnest(l[2:]) AS line FROM f),

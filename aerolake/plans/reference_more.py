@@ -17,7 +17,7 @@ from aerolake.session import scratch_path, table
 from aerolake.sources import tahmo
 from aerolake.sources.files import read_format
 from aerolake.sources.formats import AE33_COLUMNS, FORMATS, TAHMO_UNITS
-from aerolake.sources.sinks import ebas_columns, ebas_level0, merge_into, wdcgg_lines, with_partitions
+from aerolake.sources.sinks import ebas_columns, ebas_level0, merge_into, wdcgg_lines
 
 
 @query("S05_scan_of_drifting_files", "SELECT row_id, source, CAST(NULL AS DOUBLE) AS o3, value FROM level1_rows UNION ALL SELECT row_id, source, o3, NULL FROM thermo", with_obs=False)
@@ -25,12 +25,6 @@ def s05(spark, d):
     return merge.relaxed_scan(spark, [os.path.join(d, f"{t}.parquet") for t in ("level1_rows", "thermo")]).select("row_id", "source", "o3", "value")
 
 
-@query("S06_partition_pruning", "SELECT event_id, year(dtm)::INTEGER AS year, month(dtm)::INTEGER AS month FROM obs WHERE dtm >= TIMESTAMP '2024-01-10'")
-def s06(spark, d):
-    rows, _ = with_partitions(obs(spark, d), "dtm")
-    return rows.filter((F.col("year") * 12 + F.col("month") >= 2024 * 12 + 1) & (F.col("dtm") >= F.lit("2024-01-10").cast("timestamp"))).select("event_id", "year", "month")
-
-
 @query("A08_interval_median", "SELECT us // 600000000 * 600 AS start, round(median(value), 6) AS value, round(median(k), 6) AS k FROM obs GROUP BY 1")
 def a08(spark, d):
     return obs(spark, d).groupBy(sec(bucket(F.col("dtm"), "10min")).alias("start")).agg(r6(F.median("value")).alias("value"), r6(F.median("k")).alias("k"))
@@ -159,17 +153,6 @@ def k09u(spark, d):
     return ebas_columns(table(spark, d, "ae33").select("row_id", "pressure", "temperature", "flow1", "bc6")).withColumns({"pressure": r6("pressure"), "temperature": r6("temperature")})
 
 
-@query("K13_harvest_distinct", "SELECT DISTINCT device, epoch_us(dtm) AS us, o3, flowa FROM thermo", with_obs=False)
-def k13(spark, d):
-    return table(spark, d, "thermo").select("device", F.unix_micros("dtm").alias("us"), "o3", "flowa").distinct()
-
-
-@query("R27_cleaned_inner", "SELECT a.row_id, a.bc6, b.bb FROM (SELECT row_id, bc6 FROM ae33 WHERE bc6 > 0) a JOIN (SELECT row_id, bb FROM ae33 WHERE bb > 10) b USING (row_id)", with_obs=False)
-def r27(spark, d):
-    rows = table(spark, d, "ae33")
-    return joins.align([rows.filter("bc6 > 0").select("row_id", "bc6"), rows.filter("bb > 10").select("row_id", "bb")], "inner")
-
-
 @query("A01_many_variables", "SELECT inst_sn, epoch_us(date_trunc('hour', dtm)) // 1000000 AS start, " + ", ".join(f"round(avg(bc{i}), 6) AS bc{i}, count(bc{i}) AS n_bc{i}" for i in range(1, 8)) + " FROM ae33 WHERE dtm IS NOT NULL GROUP BY 1, 2", with_obs=False)
 def a01m(spark, d):
     spec = aggregate.Level2([f"bc{i}" for i in range(1, 8)], keys=["inst_sn"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import re
 import tarfile
 import zipfile
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolake.session import materialize
+from aerolake.session import filesystem, materialize
 
 Parser = Callable[[str, bytes], pd.DataFrame]
 _SPARK = {"string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(), "int": T.IntegerType(), "tinyint": T.ByteType(), "timestamp": T.TimestampType()}
@@ -132,3 +133,51 @@ def parse_files(files: DataFrame, fmt: Format, keep: bool = True) -> tuple[DataF
     if keep:
         out = materialize(out, fmt.name)
     return out.filter("error is null").drop("error"), out.filter("error is not null").select("path", "member", "error")
+
+
+def avo_files(files: DataFrame) -> DataFrame:
+    """Files named ``avo-<station>-<cadence>.parquet``: adds ``station`` and ``cadence``; other names drop out."""
+    name = F.element_at(F.split("path", "/"), -1)
+    part = lambda k: F.regexp_extract(name, r"(?i)^avo-([a-z0-9]+)-([a-z0-9]+)\.parquet$", k)
+    return files.withColumns({"station": F.lower(part(1)), "cadence": F.lower(part(2))}).filter(F.col("station") != "")
+
+
+def level1_root(spark: SparkSession, root: str, station: str) -> str:
+    """The data root of a path that is the root itself, its ``level1`` folder, or a station's folder below that."""
+    fs, path = filesystem(spark, root)
+    if not fs.exists(path) or not fs.getFileStatus(path).isDirectory():
+        raise FileNotFoundError(f"{root} is no folder")
+    if fs.exists(filesystem(spark, f"{root.rstrip('/')}/level1")[1]):
+        return root.rstrip("/")
+    for levels in (["level1"], ["level1", station]):
+        if root.rstrip("/").split("/")[-len(levels) :] == levels:
+            return root.rstrip("/").rsplit("/", len(levels))[0]
+    raise FileNotFoundError(f"{root} is neither a root with level1, nor level1, nor level1/{station}")
+
+
+def settle_files(spark: SparkSession, read: DataFrame, errors: DataFrame, archive: str, quarantine: str) -> dict[str, str]:
+    """Move files that were read to the archive, and failed ones to quarantine with a ``<name>.errors.json`` beside them.
+
+    read, errors: as of :func:`read_format`; a file with a failed member is quarantined whole. A name that is taken gets a
+    number. Paths come to the driver one by one. Returns old -> new path.
+    """
+    moved: dict[str, str] = {}
+    failed = errors.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("member", "error"))).alias("errors"))
+    good = read.select("path").distinct().join(failed, "path", "left_anti").withColumn("errors", F.lit(None))
+    for rows, folder in ((failed, quarantine), (good, archive)):
+        fs, place = filesystem(spark, folder)
+        fs.mkdirs(place)
+        for r in rows.toLocalIterator():
+            name = r["path"].rsplit("/", 1)[-1]
+            n, target = 0, f"{folder.rstrip('/')}/{name}"
+            while fs.exists(filesystem(spark, target)[1]):
+                n += 1
+                target = f"{folder.rstrip('/')}/{n}_{name}"
+            if not fs.rename(filesystem(spark, r["path"])[1], filesystem(spark, target)[1]):
+                raise OSError(f"{r['path']} can't be moved to {target}")
+            moved[r["path"]] = target
+            if r["errors"] is not None:
+                out = fs.create(filesystem(spark, f"{target}.errors.json")[1])
+                out.write(json.dumps([e.asDict() for e in r["errors"]], ensure_ascii=False).encode())
+                out.close()
+    return moved

@@ -225,6 +225,15 @@ def _with_header(required: str, default: list[str] | None = None, rename: dict[s
     return parse
 
 
+def _two_headers(name: str, raw: bytes) -> pd.DataFrame:
+    """A cleaned table whose first line names the columns and whose second one gives their units."""
+    rec = _records(_lines(raw))
+    if len(rec) < 2 or any(re.match(r"\d{4}-", c) for c in rec[1]):
+        raise ValueError("no second header line")
+    df = _frame(rec[2:], ["dtm", *rec[0][1:]])
+    return df.assign(dtm=stamps(df["dtm"]))
+
+
 def _avo(name: str, raw: bytes) -> pd.DataFrame:
     df = _with_header("ts", rename=AVO_NAMES)(name, raw)
     df = df.loc[:, ~df.columns.duplicated()]
@@ -426,6 +435,7 @@ FORMATS: dict[str, Format] = {
         Format("g2401", r"DataLog_User_Sync", _G2401, _g2401, r"DataLog_User_Sync"),
         Format("fidas", r"(?i)fidas.*\.(csv|zip)$", _STAMPED | {"id": "string", "checksum": "string"} | {str(i): "double" for i in range(0, 100)}, _with_header("dtm"), r"\.(csv|txt)$"),
         Format("hmp110", r"(?i)hmp110.*\.(csv|zip)$", _STAMPED | {"T": "double", "RH": "double", "Td": "double"}, _with_header("dtm", ["dtm", "T", "RH", "Td"]), r"\.(csv|txt)$"),
+        Format("cleaned", r"(?i)clean.*\.csv$", _STAMPED | {f"BC{i}": "double" for i in _CHANNELS} | {f"{n}{i}": "double" for n in ("ssp", "sbsp") for i in (1, 2, 3)}, _two_headers, r"\.csv$"),
         Format("avo", r"(?i)avo.*\.(csv|zip)$", _STAMPED | {"source": "string"} | {n: "double" for n in dict.fromkeys(AVO_NAMES.values()) if n not in ("ts", "source")}, _avo, r"\.csv$"),
         Format("tahmo", r"(?i)\.(csv|zip)$", _STAMPED | {"device_sn": "string", "measurement": "string", "value": "double", "mrid": "bigint", "error_flag": "tinyint", "units": "string"}, _tahmo, r"\.csv$", True),
         Format("eaton", r"(?i)^eaton-\d{10}\.(zip|csv)$", _STAMPED | {c: "string" for c in EATON_TEXT} | {c: "double" for c in EATON_DECIMAL} | {c: "bigint" for c in EATON_WHOLE} | {f"f_{c}": "tinyint" for c in (*EATON_DECIMAL, *EATON_WHOLE)}, _eaton, r"\.csv$", True),

@@ -154,3 +154,37 @@ def test_calibrated_batch(spark, at):
     for bad in (raw("2020-01-01 03:00:01", "UTC+03:00"), raw("2020-01-01 03:00:00", "")):
         with pytest.raises(Exception, match="differ|offset"):
             calibrated_batch(cal, bad).collect()
+
+
+def test_files_are_settled(spark, tmp_path):
+    import json
+
+    from aerolake.sources.files import settle_files
+
+    src, archive, quarantine = (tmp_path / n for n in ("in", "archive", "bad"))
+    src.mkdir()
+    archive.mkdir()
+    (archive / "hmp110-1.csv").write_text("older")
+    _write(src, {"hmp110-1.csv": "2025-12-17 17:59:01,26.58,35.37\n", "fidas-1.csv": "60\n1\n", "other.txt": "x"})
+    rows, errors = read_format(spark, str(src), FORMATS["hmp110"])
+    bad_rows, bad = read_format(spark, str(src), FORMATS["fidas"])
+    settle_files(spark, rows, errors, str(archive), str(quarantine))
+    settle_files(spark, bad_rows, bad, str(archive), str(quarantine))
+    assert sorted(p.name for p in src.iterdir() if not p.name.startswith(".")) == ["other.txt"]
+    assert (archive / "1_hmp110-1.csv").exists() and (archive / "hmp110-1.csv").read_text() == "older"
+    assert "no column dtm" in json.loads((quarantine / "fidas-1.csv.errors.json").read_text())[0]["error"]
+
+
+def test_two_headers_and_avo_parquet(spark, tmp_path, at):
+    from aerolake.sources.formats import avo_parquet, by_source, cpd2_table, CPD2_TABLES
+
+    rows, errors = read(spark, tmp_path, "cleaned", {"clean_a.csv": "time,BC6,ssp1\n,ng/m3,1/Mm\n2024-01-01 00:00:00,5.5,\n", "clean_b.csv": "time,BC6\n2024-01-01 00:00:00,5.5\n"})
+    assert [(r["BC6"], r["ssp1"]) for r in rows] == [(5.5, None)] and list(errors) == ["clean_b.csv"]
+    old = spark.createDataFrame([(at("2024-01-01"), "s1", "7.5", 2.0, None, 1.0), (at("2024-01-02"), "s2", "x", None, None, None)], "`Timestamp` timestamp, Source string, `PM2.5 (ug/m3)` string, pnc double, co2 double, `slot.1` double")
+    new = avo_parquet(old)
+    assert sorted(new.columns) == ["dtm", "pm25_conc", "pnc", "source"]
+    assert [(r.pm25_conc, r.pnc) for r in new.orderBy("dtm").collect()] == [(7.5, 2.0), (None, None)]
+    assert {k: v.count() for k, v in by_source(new).items()} == {"s1": 1, "s2": 1}
+    assert (len(CPD2_TABLES["S11k"]), len(CPD2_TABLES["S11m"]), len(CPD2_TABLES["A11a"])) == (74, 85, 44)
+    one = spark.createDataFrame([("A11a", "MKN", 1, at("2024-01-01"), *[1.0] * 44)], "record string, station string, epoch long, dtm timestamp, " + ", ".join(f"{c} double" for c in CPD2_TABLES["A11a"]))
+    assert cpd2_table(one, "A11a").columns[3:] == list(CPD2_TABLES["A11a"])

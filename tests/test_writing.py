@@ -112,7 +112,7 @@ def test_station_run(spark, tmp_path, at):
     (tmp_path / "l1/mkn").mkdir(parents=True)
     spark.createDataFrame([(at("2026-01-01 00:00:00"), 10.0, 0), (at("2026-01-01 00:30:00"), 20.0, 1)], "dtm timestamp, o3 double, f_o3 int").write.parquet(str(tmp_path / "l1/mkn/49i.parquet"))
     ins = [InstrumentConfig("tei/49i", ["O3"], ("1h",)), InstrumentConfig("gone", ["x"])]
-    assert discover(str(tmp_path / "l1"), "tei/49i")
+    assert discover(spark, str(tmp_path / "l1"), "tei/49i") and not discover(spark, str(tmp_path / "l1"), "ae33")
     dry = run_station(spark, "mkn", ins, str(tmp_path / "l1"), str(tmp_path / "l2"))
     assert dry.rows == {"tei/49i 1h": 1} and list(dry.errors) == ["gone"] and not (tmp_path / "l2").exists()
     run_station(spark, "mkn", ins, str(tmp_path / "l1"), str(tmp_path / "l2"), write=True)
