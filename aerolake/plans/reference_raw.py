@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from aerolake.operators.joins import with_scalars
 from aerolake.plans.reference import obs, query, r6, sec
 from aerolake.session import table
-from aerolake.sources import formats
+from aerolake.sources import formats, tahmo
 from aerolake.sources.files import accepted, parse_files
 from aerolake.sources.formats import FORMATS
 
@@ -228,3 +228,15 @@ def s04(spark, d):
 def r29(spark: SparkSession, d: str) -> DataFrame:
     known = F.create_map(*[F.lit(x) for pair in formats.readers().items() for x in pair])
     return table(spark, d, "devices").select("device", known[F.col("instrument")].alias("reader"))
+
+
+@query("R11_tahmo_export", "SELECT us // 1000000 - 10800 AS t, event_id AS device_rid, measurement, CASE WHEN measurement = 'Wind Speed' THEN k ELSE CASE WHEN f = 0 THEN value END END AS value, CASE WHEN measurement <> 'Wind Speed' AND coalesce(f, 1) <> 0 THEN 1 ELSE 0 END AS flag FROM obs, (VALUES ('Wind Speed'), ('Air Temperature')) v(measurement)")
+def r11(spark, d):
+    """Pairs of a calibrated and a raw file per hour, in local time; every other hour's raw file leaves the offset unset."""
+    rows = obs(spark, d)
+    hour, stamp = F.date_format("dtm", "yyyyMMddHH"), F.date_format("dtm", "yyyy/MM/dd HH:mm:ss")
+    named = lambda kind: F.concat(F.lit("z-" + kind + "Configuration 1-"), hour, F.lit(".csv"))
+    cal = _files(rows, _text(stamp, F.when(F.col("f") == 0, F.col("value")), "k"), "D1\nmy logger\nTimestamps,degree_C Air Temperature,m/s Wind Speed\n", path=named(""))
+    raw = _files(rows, _text(stamp, "event_id", F.when(F.hour("dtm") % 2 == 0, "UTC+03:00").otherwise("Not Set")), "D1\nmy logger\nTimestamps,Device RID,UTC Offset\n", path=named("Raw-"))
+    out = tahmo.export_readings(_read(cal.unionAll(raw), "tahmo_export"), "UTC+03:00")
+    return out.select(sec("dtm").alias("t"), "device_rid", "measurement", "value", F.col("flag").cast("int").alias("flag"))

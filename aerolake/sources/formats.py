@@ -256,6 +256,57 @@ def _tahmo(name: str, raw: bytes) -> pd.DataFrame:
     return df.assign(dtm=pd.to_datetime(pd.to_numeric(df["timestamp_utc"]), unit="s", utc=True), error_flag=error.isin(["true", "1"]).astype(int))
 
 
+#: Names of the logger export's files, and other spellings of its units.
+EXPORT_NAME = r"(?i)^(.+?)-(Raw-)?Configuration\s+(\d+)-(\d+(?:\.\d+)?)\.csv$"
+UNIT_SPELLINGS = {"degree_C": "°C", "degrees": "°", "W/m2": "W/m²"}
+EXPORT_COLUMNS = {"file": "string", "raw": "tinyint", "line": "bigint", "device_sn": "string", "stamp": "string", "rid": "bigint", "offset": "string", "measurement": "string", "value": "double"}
+
+
+def _export_label(text: str) -> str:
+    words = text.replace("\u00a0", " ").split()
+    if len(words) > 1:
+        words[0] = UNIT_SPELLINGS.get(words[0], words[0])
+    return " ".join(words)
+
+
+def _tahmo_export(name: str, raw: bytes) -> pd.DataFrame:
+    """One file of a logger export, calibrated or raw: the device in the first line, the record count in the second, names in the third.
+
+    A calibrated file gives a row per record and measurement, a raw one a row per record with its id and UTC offset.
+    """
+    base = re.match(EXPORT_NAME, name.rsplit("/", 1)[-1])
+    rec = [[c.strip() for c in r] for r in csv.reader(io.StringIO(decode(raw)))]
+    if not base or len(rec) < 3:
+        raise ValueError("not an export with three header lines")
+    device, names, body = rec[0][0], [_export_label(x) for x in rec[2]], rec[3:]
+    claim = re.search(r"# Records:\s*(\d+)", rec[1][0]) if rec[1] else None
+    if claim and int(claim[1]) != len(body):
+        raise ValueError(f"{claim[1]} records claimed, {len(body)} there")
+    wrong = [n for n, r in enumerate(body, 1) if len(r) != len(names)]
+    if wrong or len(set(names)) != len(names) or "Timestamps" not in names:
+        raise ValueError(f"record {wrong[0]}: other fields than names" if wrong else "names twice, or no Timestamps")
+    df = pd.DataFrame(body, columns=names, dtype=object)
+    own = {"file": "-".join((base[1], base[3], base[4])), "raw": int(base[2] is not None), "line": range(1, len(df) + 1), "device_sn": device}
+    head = pd.DataFrame(own, index=df.index).assign(stamp=df["Timestamps"])
+    if base[2]:
+        if not {"Device RID", "UTC Offset"} <= set(names):
+            raise ValueError("no Device RID or UTC Offset")
+        unset = df["UTC Offset"].str.lower().isin(["", "not set"])
+        return head.assign(rid=df["Device RID"], offset=df["UTC Offset"].mask(unset, ""))
+    labels = {_export_label(f"{u} {m}"): m for m, u in TAHMO_UNITS.items()}
+    unknown = [n for n in names if n != "Timestamps" and n not in labels]
+    if unknown:
+        raise ValueError(f"unknown columns {unknown}")
+    parts = []
+    for label, m in labels.items():
+        if label in df:
+            n = pd.to_numeric(df[label].mask(df[label] == ""))  # text that is no number is an error
+            if np.isinf(n.astype(float)).any():
+                raise ValueError(f"{m}: not finite")
+            parts.append(head.assign(measurement=m, value=n))
+    return pd.concat(parts) if parts else head.iloc[:0]
+
+
 def _eaton(name: str, raw: bytes) -> pd.DataFrame:
     hour = re.search(r"eaton-(\d{10})", name, re.I)
     df = pd.read_csv(io.StringIO(decode(raw)), dtype=str, keep_default_na=False)
@@ -438,6 +489,7 @@ FORMATS: dict[str, Format] = {
         Format("cleaned", r"(?i)clean.*\.csv$", _STAMPED | {f"BC{i}": "double" for i in _CHANNELS} | {f"{n}{i}": "double" for n in ("ssp", "sbsp") for i in (1, 2, 3)}, _two_headers, r"\.csv$"),
         Format("avo", r"(?i)avo.*\.(csv|zip)$", _STAMPED | {"source": "string"} | {n: "double" for n in dict.fromkeys(AVO_NAMES.values()) if n not in ("ts", "source")}, _avo, r"\.csv$"),
         Format("tahmo", r"(?i)\.(csv|zip)$", _STAMPED | {"device_sn": "string", "measurement": "string", "value": "double", "mrid": "bigint", "error_flag": "tinyint", "units": "string"}, _tahmo, r"\.csv$", True),
+        Format("tahmo_export", r"(?i)\.(csv|zip)$", EXPORT_COLUMNS, _tahmo_export, r"Configuration.*\.csv$"),
         Format("eaton", r"(?i)^eaton-\d{10}\.(zip|csv)$", _STAMPED | {c: "string" for c in EATON_TEXT} | {c: "double" for c in EATON_DECIMAL} | {c: "bigint" for c in EATON_WHOLE} | {f"f_{c}": "tinyint" for c in (*EATON_DECIMAL, *EATON_WHOLE)}, _eaton, r"\.csv$", True),
         Format("cpd2", r"(?i)\.(tar\.gz|tgz)$", CPD2_FORMAT_COLUMNS, _cpd2, r"(S11|A11)"),
         Format("d018", r"(?i)\.018$", DOBSON_COLUMNS, _dobson),

@@ -46,3 +46,30 @@ def calibrated_batch(calibrated: DataFrame, raw: DataFrame, fallback_offset: str
     dtm = F.when(~same, F.raise_error(F.concat(F.lit("stamps differ in "), F.coalesce("c.file", "r.file"))).cast("timestamp")).when(offset.isNull(), F.raise_error(F.lit("a record has no UTC offset")).cast("timestamp")).otherwise(offset_to_utc(F.col("c.stamp"), offset))
     values = [F.col(f"c.{x}") for x in calibrated.columns if x not in ("file", "line", "stamp")]
     return j.select(dtm.alias("dtm"), F.col("r.rid").alias("mrid"), *values)
+
+
+def export_readings(rows: DataFrame, fallback_offset: str | None = None, start: str | None = None) -> DataFrame:
+    """Readings of logger exports in UTC: ``device_sn, dtm, device_rid, measurement, value, flag``.
+
+    rows: as read by the ``tahmo_export`` format. Calibrated records are joined with the raw file's by file and line; a
+    pair whose stamps or devices differ, a record that only one of them has, an unset offset without a fallback, or an offset other than
+    the fallback, is an error. Without any raw file the fallback offset holds. ``flag`` is 1 for a missing value. ``start``: the
+    first day, in UTC. Many files are one shuffle by file and line; readings stay long, for :func:`wide`'s pivot.
+    """
+    raw = rows.filter("raw = 1").select(*[F.col(c).alias(f"r_{c}") for c in ("file", "line", "device_sn", "stamp", "rid", "offset")])
+    cal = rows.filter("raw = 0").drop("rid", "offset")
+    files = raw.select(F.col("r_file").alias("f")).distinct().withColumn("paired", F.lit(True))
+    j = cal.join(raw, (F.col("file") == F.col("r_file")) & (F.col("line") == F.col("r_line")), "full").join(files, F.coalesce("file", "r_file") == F.col("f"), "left")
+    paired = F.coalesce("paired", F.lit(False))
+    offset = F.coalesce(F.when(F.col("r_offset") != "", F.col("r_offset")), F.lit(fallback_offset))
+    where = lambda text: F.raise_error(F.concat(F.lit(text), F.coalesce("file", "r_file"), F.lit(", record "), F.coalesce("line", "r_line").cast("string"))).cast("string")
+    same = F.coalesce((F.col("stamp") == F.col("r_stamp")) & (F.col("device_sn") == F.col("r_device_sn")), F.lit(False))
+    checked = (
+        F.when(paired & ~same, where("stamps or devices differ in "))
+        .when(offset.isNull(), where("no UTC offset in "))
+        .when(F.lit(fallback_offset).isNotNull() & (offset != F.lit(fallback_offset)), where("another UTC offset than the given one in "))
+        .otherwise(offset)
+    )
+    dtm = offset_to_utc(F.to_timestamp("stamp", "yyyy/MM/dd HH:mm:ss"), checked)
+    out = j.select("device_sn", dtm.alias("dtm"), F.col("r_rid").alias("device_rid"), "measurement", "value", F.col("value").isNull().cast("tinyint").alias("flag"))
+    return out.filter(F.col("dtm") >= F.lit(start).cast("timestamp")) if start else out

@@ -188,3 +188,34 @@ def test_two_headers_and_avo_parquet(spark, tmp_path, at):
     assert (len(CPD2_TABLES["S11k"]), len(CPD2_TABLES["S11m"]), len(CPD2_TABLES["A11a"])) == (74, 85, 44)
     one = spark.createDataFrame([("A11a", "MKN", 1, at("2024-01-01"), *[1.0] * 44)], "record string, station string, epoch long, dtm timestamp, " + ", ".join(f"{c} double" for c in CPD2_TABLES["A11a"]))
     assert cpd2_table(one, "A11a").columns[3:] == list(CPD2_TABLES["A11a"])
+
+
+def test_tahmo_exports(spark, tmp_path):
+    from aerolake.sources.tahmo import export_readings
+
+    head = "D1\nlogger # Records: 2\n"
+    cal = head + "Timestamps,degree_C Air Temperature,W/m2 Solar Radiation\n2020/01/01 03:00:00,20.5,\n2020/01/01 03:05:00,21,5\n"
+    raw = lambda offset, second="2020/01/01 03:05:00": head + f"Timestamps,Device RID,UTC Offset,x\n2020/01/01 03:00:00,7,UTC+03:00,a\n{second},8,{offset},b\n"
+
+    def of(name, **files):
+        folder = tmp_path / name
+        folder.mkdir()
+        return read_format(spark, str(_write(folder, {"a.zip": zipped(**files)})), FORMATS["tahmo_export"])
+
+    pair = {"z-Configuration 1-17__csv": cal, "z-Raw-Configuration 1-17__csv": raw("UTC+03:00")}
+    rows, errors = of("ok", **pair)
+    got = sorted((str(r.dtm), r.device_rid, r.measurement, r.value, r.flag) for r in export_readings(rows).collect())
+    assert errors.count() == 0 and got == [
+        ("2020-01-01 00:00:00", 7, "Air Temperature", 20.5, 0), ("2020-01-01 00:00:00", 7, "Solar Radiation", None, 1),
+        ("2020-01-01 00:05:00", 8, "Air Temperature", 21.0, 0), ("2020-01-01 00:05:00", 8, "Solar Radiation", 5.0, 0),
+    ]
+    unset, _ = of("unset", **(pair | {"z-Raw-Configuration 1-17__csv": raw("Not Set")}))
+    assert export_readings(unset, "UTC+03:00").count() == 4 and export_readings(unset, "UTC+03:00", start="2020-01-02").count() == 0
+    apart, _ = of("apart", **(pair | {"z-Raw-Configuration 1-17__csv": raw("UTC+03:00", "2020/01/01 03:06:00")}))
+    alone, _ = of("alone", **{"z-Configuration 1-17__csv": cal})
+    for bad, offset, text in ((unset, None, "no UTC offset"), (apart, None, "differ"), (rows, "UTC+02:00", "another UTC offset"), (alone, None, "no UTC offset")):
+        with pytest.raises(Exception, match=text):
+            export_readings(bad, offset).collect()
+    assert export_readings(alone, "UTC+03:00").count() == 4
+    _, short = of("short", **{"z-Configuration 1-17__csv": cal.replace("Records: 2", "Records: 3")})
+    assert "3 records claimed, 2 there" in short.first().error
