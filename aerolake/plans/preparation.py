@@ -33,7 +33,8 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_common(spark: SparkSession, d: str) -> DataFrame:
-    return units.harmonize(table(spark, d, "avo_fidas_ae3x"))
+    out = units.harmonize(table(spark, d, "avo_fidas_ae3x"))
+    return out.select("reading_id", "source", "quantity", "raw_value", "unit_code", "unit_from", F.round("value", 6).alias("value"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -92,29 +93,14 @@ _READINGS = """
         SELECT o.field, o.row_id FROM (SELECT *, count(*) OVER (PARTITION BY field, device, run) AS length FROM o) o JOIN g ON o.field = g.field AND o.device IS NOT DISTINCT FROM g.device AND o.i = g.i
         WHERE spike OR length >= 10 OR v < CASE o.field WHEN 'thermo.o3' THEN -20 WHEN 'thermo.flowa' THEN 0 ELSE -20000 END OR v > CASE o.field WHEN 'thermo.o3' THEN 500 WHEN 'thermo.flowa' THEN 5 ELSE 100000 END
     """
-_CELLS = ", ".join(f"TRY_CAST(v[list_position(names, '{c}')] AS DOUBLE) AS {c}" for c in HARVESTED)
-
-SQL = {
-    "p1_harvest": _RECORDS.replace("COLUMNS_", _CELLS).replace("NAMES_", ", ".join(HARVESTED)),
-    "p5_found": _READINGS,
-    "p1_found": r"""
-        WITH f AS (SELECT fragment_id, device, string_split_regex(content, '\r?\n') AS l FROM level1_fragments WHERE content IS NOT NULL),
-        r AS (SELECT fragment_id, device, list_transform(string_split(l[1], ','), lambda x: lower(trim(x))) AS names, unnest(l[2:]) AS line FROM f),
-        v AS (SELECT fragment_id, device, names, string_split(line, ',') AS v FROM r WHERE trim(line) <> ''),
-        k AS (
-            SELECT fragment_id, device, epoch_us(CAST(v[list_position(names, 'dtm')] || CASE WHEN regexp_matches(v[list_position(names, 'dtm')], '(Z|[+-][0-9]{2}:[0-9]{2})$') THEN '' ELSE 'Z' END AS TIMESTAMPTZ)) AS us,
-                   list_sort(list_filter(list_transform(range(1, len(names) + 1), lambda i: CASE WHEN names[i] <> 'dtm' AND trim(v[i]) <> '' THEN names[i] || '=' || CAST(CAST(v[i] AS DOUBLE) + 0 AS VARCHAR) END), lambda x: x IS NOT NULL)) AS cells
-            FROM v),
-        firsts AS (SELECT DISTINCT min(fragment_id) AS fragment_id FROM k GROUP BY device, us, cells)
-        SELECT fragment_id FROM level1_fragments ANTI JOIN firsts USING (fragment_id)
-    """,
-    "p4_found": r"""
+_UNITS = r"""
         WITH spelled AS (
             SELECT reading_id, source, instrument,
                    CASE WHEN NOT isnan(pm25_conc) THEN pm25_conc WHEN NOT isnan(ir880) THEN ir880 WHEN NOT isnan(bc6) THEN bc6 END AS num, value_text,
                    list_transform([coalesce(unit, ''), coalesce(value_text, ''), coalesce(note, '')], lambda t: replace(replace(replace(replace(replace(replace(replace(replace(replace(
                        lower(t), 'µ', 'u'), 'μ', 'u'), 'micrograms', 'ug'), 'milligrams', 'mg'), 'nanograms', 'ng'), 'cubic metre', 'm3'), 'litre', 'l'), '³', '3'), '**', '')) AS t,
-                   CASE WHEN NOT isnan(pm25_conc) THEN 'ug/m3' WHEN NOT isnan(ir880) OR NOT isnan(bc6) THEN 'ng/m3' WHEN instrument IN ('avo', 'fidas') THEN 'ug/m3' WHEN instrument IN ('ae31', 'ae33') THEN 'ng/m3' END AS common
+                   CASE WHEN NOT isnan(pm25_conc) THEN 'ug/m3' WHEN NOT isnan(ir880) OR NOT isnan(bc6) THEN 'ng/m3' WHEN instrument IN ('avo', 'fidas') THEN 'ug/m3' WHEN instrument IN ('ae31', 'ae33') THEN 'ng/m3' END AS common,
+                   CASE WHEN NOT isnan(pm25_conc) THEN 'pm25_conc' WHEN NOT isnan(ir880) THEN 'ir880' WHEN NOT isnan(bc6) THEN 'bc6' WHEN instrument IN ('avo', 'fidas') THEN 'pm25_conc' WHEN instrument = 'ae31' THEN 'ir880' WHEN instrument = 'ae33' THEN 'bc6' END AS quantity
             FROM avo_fidas_ae3x),
         found AS (
             SELECT *, regexp_extract(t[1], '(ug|mg|ng)(/|\s*per\s*|\s+)(m|l)', ['mass', 'sep', 'volume']) AS u,
@@ -122,8 +108,8 @@ SQL = {
                    regexp_extract(t[3], '(?:^|[^0-9\s])\s*(ug|mg|ng)(/|\s*per\s*|\s+)(m|l)[\^]?-?[31]?(?:$|[^a-z])', ['mass', 'sep', 'volume']) AS n
             FROM spelled),
         stated AS (
-            SELECT reading_id, source, common, CASE WHEN u.mass <> '' THEN u WHEN v.mass <> '' THEN v WHEN n.mass <> '' THEN n END AS s,
-                   coalesce(num, TRY_CAST(regexp_extract(value_text, '(?:^|[^A-Za-z0-9.])([0-9]+[.]?[0-9]*)', 1) AS DOUBLE)) AS x
+            SELECT reading_id, source, common, quantity, CASE WHEN u.mass <> '' THEN 'unit' WHEN v.mass <> '' THEN 'value_text' WHEN n.mass <> '' THEN 'note' ELSE 'inferred' END AS unit_from, CASE WHEN u.mass <> '' THEN u WHEN v.mass <> '' THEN v WHEN n.mass <> '' THEN n END AS s,
+                   coalesce(num, TRY_CAST(regexp_extract(value_text, '(?:^|[^A-Za-z0-9.^*-])([0-9]+[.]?[0-9]*)', 1) AS DOUBLE)) AS x
             FROM found),
         coded AS (SELECT *, CASE WHEN s IS NOT NULL THEN s.mass || CASE s.volume WHEN 'm' THEN '/m3' ELSE '/l' END END AS code FROM stated WHERE x IS NOT NULL AND common IS NOT NULL),
         scaled AS (
@@ -131,12 +117,31 @@ SQL = {
         levels AS (SELECT source, common, median(log10(abs(x * scale))) AS own FROM scaled WHERE code IS NOT NULL AND x <> 0 GROUP BY 1, 2),
         every AS (SELECT common, median(own) AS whole FROM levels GROUP BY 1),
         guessed AS (
-            SELECT reading_id, common, coalesce(code, CASE WHEN x = 0 OR coalesce(own, whole) IS NULL THEN common ELSE list_sort(list_transform(
+            SELECT reading_id, source, common, quantity, unit_from, x, coalesce(code, CASE WHEN x = 0 OR coalesce(own, whole) IS NULL THEN common ELSE list_sort(list_transform(
                        [('ug/m3', 1.0), ('mg/m3', 1000.0), ('ng/m3', 0.001)],
                        lambda c: (abs(log10(abs(x)) + log10(c[2] * CASE common WHEN 'ng/m3' THEN 1e3 ELSE 1 END) - coalesce(own, whole)), c[1] <> common, c[1])))[1][3] END) AS unit_code
             FROM scaled LEFT JOIN levels USING (source, common) LEFT JOIN every USING (common))
-        SELECT reading_id, unit_code FROM guessed WHERE unit_code <> common
+        """
+_COMMON = """SELECT reading_id, source, quantity, x AS raw_value, unit_code, unit_from,
+        round(x * CASE unit_code WHEN 'mg/m3' THEN 1e3 WHEN 'ug/l' THEN 1e3 WHEN 'ng/m3' THEN 1e-3 ELSE 1 END * CASE common WHEN 'ng/m3' THEN 1e3 ELSE 1 END, 6) AS value FROM guessed"""
+_CELLS = ", ".join(f"TRY_CAST(v[list_position(names, '{c}')] AS DOUBLE) AS {c}" for c in HARVESTED)
+
+SQL = {
+    "p1_harvest": _RECORDS.replace("COLUMNS_", _CELLS).replace("NAMES_", ", ".join(HARVESTED)),
+    "p5_found": _READINGS,
+    "p1_found": r"""
+        WITH f AS (SELECT fragment_id, device, string_split_regex(content, '\r?\n') AS l FROM level1_fragments WHERE content IS NOT NULL),
+        r AS (SELECT fragment_id, device, list_transform(string_split(l[1], ','), lambda x: lower(trim(x))) AS names, unnest(l[2:]) AS line FROM f),
+        v AS (SELECT fragment_id, device, names, string_split(line, ',') AS v FROM r WHERE trim(line) <> ''),
+        k AS (
+            SELECT fragment_id, device, epoch_us(CAST(v[list_position(names, 'dtm')] || CASE WHEN regexp_matches(v[list_position(names, 'dtm')], '(Z|[+-][0-9]{2}:[0-9]{2})$') THEN '' ELSE 'Z' END AS TIMESTAMPTZ)) AS us,
+                   list_sort(list_filter(list_transform(range(1, len(names) + 1), lambda i: CASE WHEN names[i] <> 'dtm' AND trim(v[i]) <> '' THEN names[i] || '=' || CAST(CAST(v[i] AS DOUBLE) + 0 AS VARCHAR) END), lambda x: x IS NOT NULL)) AS cells
+            FROM v),
+        firsts AS (SELECT DISTINCT min(fragment_id) AS fragment_id FROM k GROUP BY device, us, cells)
+        SELECT fragment_id FROM level1_fragments ANTI JOIN firsts USING (fragment_id)
     """,
+    "p4_found": _UNITS + "SELECT reading_id, unit_code FROM guessed WHERE unit_code <> common",
+    "p4_common": _UNITS + _COMMON,
     "p3_found": r"""
         WITH base AS (SELECT *, lower(regexp_extract(line, '^\s*"?([^\s,]*)', 1)) AS first FROM thermo_lines WHERE line IS NOT NULL),
         heads AS (SELECT file_name, arg_min(lower(line), line_no) AS h FROM base WHERE first IN ('dtm', 'pcdate') GROUP BY 1),

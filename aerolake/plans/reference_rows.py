@@ -269,13 +269,6 @@ def f08(spark, d):
     return obs(spark, d).select("event_id", sec(timeparse.offset_to_utc(F.col("dtm"), F.lit("UTC+03:30"))).alias("t"))
 
 
-@query("F09_decimal_year", "SELECT event_id, round(2024 + (us - epoch_us(TIMESTAMP '2024-01-01'))::DOUBLE / (epoch_us(TIMESTAMP '2025-01-01') - epoch_us(TIMESTAMP '2024-01-01')), 9) AS x, us // 1000000 AS back FROM obs WHERE us % 1000000 < 400000 AND us % 1000000 > 100000")
-def f09(spark, d):
-    rows = obs(spark, d).filter((F.col("us") % 1_000_000 < 400_000) & (F.col("us") % 1_000_000 > 100_000))
-    x = timeparse.decimal_year(F.col("dtm"))
-    return rows.select("event_id", F.round(x, 9).alias("x"), sec(timeparse.from_decimal_year(x)).alias("back"))
-
-
 @query("F09_decimal_year_whole", "+y AS (SELECT event_id, us, year(dtm) AS y, epoch_us(date_trunc('year', dtm)) AS a, epoch_us(date_trunc('year', dtm) + INTERVAL 1 YEAR) AS b FROM obs), x AS (SELECT *, y + (us - a)::DOUBLE / (b - a)::DOUBLE AS x FROM y) SELECT event_id, round(x, 9) AS x, round((a // 1000000)::DOUBLE + (x - floor(x)) * ((b - a) // 1000000)::DOUBLE)::BIGINT AS back FROM x")
 def f09_whole(spark, d):
     x = timeparse.decimal_year(F.col("dtm"))
@@ -347,12 +340,6 @@ def m11(spark, d):
     return profiles.interpolate_log(rows, ["event_type"], "x", "k", [1.5, 2.0, 5.0, 10.0, 50.0, 100.0], "linear")
 
 
-@query("M12_pump_and_integral", "+t AS (SELECT *, value + 1 AS p, CASE WHEN value + 1 <= 3 THEN 1.24 WHEN value + 1 <= 5 THEN 1.24 + (ln(value + 1) - ln(3)) * (1.124 - 1.24) / (ln(5) - ln(3)) WHEN value + 1 <= 7 THEN 1.124 + (ln(value + 1) - ln(5)) * (1.087 - 1.124) / (ln(7) - ln(5)) WHEN value + 1 <= 10 THEN 1.087 + (ln(value + 1) - ln(7)) * (1.066 - 1.087) / (ln(10) - ln(7)) END AS factor FROM obs) SELECT event_id, round(k * factor, 5) AS corrected FROM t WHERE p <= 10")
-def m12(spark, d):
-    rows = obs(spark, d).filter("value + 1 <= 10")
-    return rows.select("event_id", F.round(profiles.pump_corrected(F.col("k"), F.col("value") + 1), 5).alias("corrected"))
-
-
 @query("M12_pump_whole", "+b AS (SELECT p0, f0, lead(p0) OVER w AS p1, lead(f0) OVER w AS f1 FROM (VALUES (3, 1.24::DOUBLE), (5, 1.124), (7, 1.087), (10, 1.066), (15, 1.048), (20, 1.041), (30, 1.029), (50, 1.018), (70, 1.013), (100, 1.007), (150, 1.002), (200, 1), (1000, 1)) t(p0, f0) WINDOW w AS (ORDER BY p0)) SELECT event_id, round(k * CASE WHEN value + 1 <= 0 THEN NULL WHEN value + 1 <= 3 THEN 1.24 WHEN value + 1 > 1000 THEN 1 ELSE f0 + (ln(value + 1) - ln(p0)) * (f1 - f0) / (ln(p1) - ln(p0)) END, 5) AS corrected FROM obs LEFT JOIN b ON value + 1 > p0 AND value + 1 <= p1")
 def m12_pump_whole(spark, d):
     return obs(spark, d).select("event_id", F.round(profiles.pump_corrected(F.col("k"), F.col("value") + 1), 5).alias("corrected"))
@@ -413,12 +400,6 @@ def c01(spark, d):
     return e.select("event_id", F.initcap("event_type").alias("title"), F.regexp_replace("props", "[^0-9]", "").alias("digits"), F.concat_ws("-", "event_type", F.col("user_id").cast("string")).alias("joined"))
 
 
-@query("C02_tolerant_cast", "SELECT line_id, TRY_CAST(split_part(line, ',', 4) AS DOUBLE) AS x FROM thermo_lines WHERE regexp_matches(split_part(line, ',', 4), '^[0-9.]+$')", with_obs=False)
-def c02(spark, d):
-    x = F.split_part("line", F.lit(","), F.lit(4))
-    return table(spark, d, "thermo_lines").filter(x.rlike("^[0-9.]+$")).select("line_id", x.try_cast("double").alias("x"))
-
-
 @query("C02_tolerant_cast_whole", r"WITH f AS (SELECT line_id, regexp_replace(split_part(line, ',', 4), '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS v FROM thermo_lines) SELECT line_id, CASE WHEN regexp_matches(v, '^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]?$') THEN TRY_CAST(rtrim(v, 'dDfF') AS DOUBLE) WHEN lower(v) = 'nan' THEN 'NaN'::DOUBLE WHEN regexp_matches(lower(v), '^[+]?inf(inity)?$') THEN 'Infinity'::DOUBLE WHEN regexp_matches(lower(v), '^-inf(inity)?$') THEN '-Infinity'::DOUBLE END AS x FROM f", with_obs=False)
 def c02_whole(spark, d):
     return table(spark, d, "thermo_lines").select("line_id", F.split_part("line", F.lit(","), F.lit(4)).try_cast("double").alias("x"))
