@@ -118,18 +118,21 @@ def parse_fragments(fragments: DataFrame, quotes: bool = True) -> DataFrame:
     at = F.array_position("names", "dtm").cast("int")
     stamp = F.when(at > 0, F.trim(F.get("parts", at - 1)))
 
-    def cell(n: Column, v: Column, i: Column) -> Column:
-        text = F.trim(v)
-        number = text.rlike(r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d{1,3})?$")
+    # names and texts, then numbers, then one spelling: each step works on what the one before has left
+    places = F.sequence(F.lit(0), F.greatest(F.size("parts"), F.lit(1)) - 1)
+    named = F.transform(places, lambda i: F.struct(F.coalesce(F.get("names", i), F.concat(F.lit("#"), (i + 1).cast("string"))).alias("name"), F.trim(F.get("parts", i)).alias("text")))
+    filled = F.filter(named, lambda c: (c["name"] != "dtm") & c["text"].isNotNull() & (c["text"] != "") & (F.lower(c["text"]) != "nan"))
+    read = F.transform(filled, lambda c: F.struct(c["name"].alias("name"), c["text"].alias("text"), F.when(c["text"].rlike(r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d{1,3})?$"), c["text"].try_cast("double")).alias("x")))
+
+    def spelled(c: Column) -> Column:
+        text, x = c["text"], c["x"]
         # within 15 digits a double holds every digit; longer numbers stay texts without idle zeros
-        exact = number & ((F.length(text) <= 15) | (F.length(F.regexp_replace(text, r"^[+-]?[0.]*|[eE].*$|\.", "")) <= 15)) & (F.abs(text.try_cast("double")) < float("inf"))
+        exact = x.isNotNull() & ((F.length(text) <= 15) | (F.length(F.regexp_replace(text, r"^[+-]?[0.]*|[eE].*$|\.", "")) <= 15)) & (F.abs(x) < float("inf"))
         long_one = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"^\+?(-?)0*(?=\d)", "$1"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
-        value = F.when(exact, (text.try_cast("double") + F.lit(0.0)).cast("string")).when(number & ~F.contains(F.lower(text), F.lit("e")), long_one).otherwise(text)
-        return F.struct(F.coalesce(n, F.concat(F.lit("#"), (i + 1).cast("string"))).alias("name"), value.alias("value"), F.coalesce(exact, F.lit(False)).alias("number"))
+        value = F.when(exact, (x + F.lit(0.0)).cast("string")).when(x.isNotNull() & ~F.contains(F.lower(text), F.lit("e")), long_one).otherwise(text)
+        return F.struct(c["name"].alias("name"), value.alias("value"), F.coalesce(exact, F.lit(False)).alias("number"))
 
-    places = F.sequence(F.lit(0), F.greatest(F.size("parts"), F.lit(1)) - 1)
-    cells = F.transform(places, lambda i: cell(F.get("names", i), F.get("parts", i), i))
-    cells = F.filter(cells, lambda c: (c["name"] != "dtm") & c["value"].isNotNull() & (c["value"] != "") & (F.lower(c["value"]) != "nan"))
+    cells = F.transform(read, spelled)
     us = _instant_us(stamp)
     out = rows.select("fragment_id", "line_no", "device", "instrument", "content_hash", us.alias("us"), F.when(us.isNull(), F.coalesce(stamp, F.lit(""))).alias("stamp"), F.array_sort(cells).alias("cells"))
     return out.withColumns(_record_hashes(F.col("us"), F.col("cells")))
@@ -268,9 +271,10 @@ def compact(fragments: DataFrame, target: str | None = None, target_bytes: int =
         held = F.map_from_entries(F.transform("cells", lambda c: F.struct(c["name"], c["value"])))
         typed = F.struct(*[F.element_at("held", F.lit(n)).cast("double" if n in numeric else "string").alias(n) for n in names]) if names else F.struct(F.lit(None).cast("string").alias("none"))
         placed = firsts.join(bins, "fragment_id").select("fragment_id", "line_no", "bin", "h1")
-        kept = parsed.drop("h1", "h2", "content_hash").join(placed, ["fragment_id", "line_no"])
         rest = F.map_filter("held", lambda k, v: ~k.isin(names)) if names else F.col("held")
-        out = kept.withColumn("held", held).select("bin", "device", "instrument", F.timestamp_micros("us").alias("dtm"), "stamp", typed.alias("cells"), rest.alias("rest"))
+        # rows take their written form before they are shuffled: doubles are shorter than names and texts
+        rows = parsed.withColumn("held", held).select("fragment_id", "line_no", "device", "instrument", F.timestamp_micros("us").alias("dtm"), "stamp", typed.alias("cells"), rest.alias("rest"))
+        out = rows.join(placed.drop("h1"), ["fragment_id", "line_no"]).select("bin", "device", "instrument", "dtm", "stamp", "cells", "rest")
         if n_bins:
             out = out.repartitionById(n_bins, "bin").sortWithinPartitions("device", "dtm")
         out.write.option("compression", "zstd").parquet(f"{staging}/data")
