@@ -14,11 +14,9 @@ from aerolake.operators.windows import interpolate_series, ordered
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """``df`` with the columns of a one-row aggregate, by an equi-join on a constant; the single row is broadcast.
 
-    Of a frame with more rows (a total aggregate never has) only an arbitrary one would do, so it is an error.
+    ``one_row`` must be a total aggregate, which has one row by construction.
     """
-    packed = one_row.limit(2).agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in one_row.columns])).alias("_row"))
-    single = F.when(F.size("_row") > 1, F.raise_error(F.lit("more than one row to broadcast")).cast("int")).otherwise(0)
-    one = packed.select(F.get("_row", single).alias("_row")).filter("_row is not null").select("_row.*").withColumn("_one_right", F.lit(1))
+    one = one_row.withColumn("_one_right", F.lit(1))
     return df.withColumn("_one", F.lit(1)).join(F.broadcast(one), F.col("_one") == F.col("_one_right")).drop("_one", "_one_right")
 
 
