@@ -20,11 +20,11 @@ def _text(*cells: Column | str, sep: str = ",") -> Column:
 
 
 def _files(rows: DataFrame, line: Column, head: str = "", foot: str = "", path: Column | None = None, charset: str = "UTF-8") -> DataFrame:
-    """One file an hour: ``path``, ``content``; lines in order of event_id between a head and a foot."""
-    hour = path if path is not None else F.date_format("dtm", "yyyyMMddHH")
+    """One file a day: ``path``, ``content``; lines in order of event_id between a head and a foot."""
+    day = path if path is not None else F.date_format("dtm", "yyyyMMdd")
     body = F.transform(F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("i"), line.alias("x")))), lambda s: s["x"])
     whole = F.concat(F.lit(head), F.array_join(body, "\n"), F.lit("\n" + foot))
-    return rows.groupBy(hour.alias("path")).agg(F.encode(whole, charset).alias("content"))
+    return rows.groupBy(day.alias("path")).agg(F.encode(whole, charset).alias("content"))
 
 
 def _read(rows: DataFrame, name: str) -> DataFrame:
@@ -183,12 +183,12 @@ def r25(spark, d):
     return _read(_files(obs(spark, d), line, "# note\n"), "noaa_mbl").select(sec("dtm").alias("t"), "value")
 
 
-@query("S01_bad_files_lose_only_themselves", "+h AS (SELECT event_type, us // 3600000000 AS h, count(*) AS n FROM obs GROUP BY 1, 2) SELECT count(*) FILTER (WHERE event_type = 'error') AS failed, sum(n) FILTER (WHERE event_type <> 'error') AS rows FROM h")
+@query("S01_bad_files_lose_only_themselves", "+h AS (SELECT event_type, us // 86400000000 AS h, count(*) AS n FROM obs GROUP BY 1, 2) SELECT count(*) FILTER (WHERE event_type = 'error') AS failed, sum(n) FILTER (WHERE event_type <> 'error') AS rows FROM h")
 def s01(spark, d):
     rows = obs(spark, d)
     stamp = F.when(F.col("event_type") == "error", "never").otherwise(F.date_format("dtm", "MM/dd/yyyy HH:mm:ss"))
     own = {"dtm": stamp, "BC6": F.col("event_id")}
-    files = _files(rows, _text(*[own.get(c, F.lit("")) for c in formats.AE33_COLUMNS]), path=F.concat_ws("-", "event_type", F.date_format("dtm", "yyyyMMddHH")))
+    files = _files(rows, _text(*[own.get(c, F.lit("")) for c in formats.AE33_COLUMNS]), path=F.concat_ws("-", "event_type", F.date_format("dtm", "yyyyMMdd")))
     good, bad = parse_files(files, replace(FORMATS["ae33"], members=r".*"))
     return with_scalars(bad.agg(F.count("*").alias("failed")), good.agg(F.count("*").alias("rows")))
 
