@@ -116,7 +116,8 @@ def r13(spark, d):
     stamp = [F.lit("MKN"), "event_id", F.date_format("dtm", "yyyy-MM-dd'T'HH:mm:ss'Z'")]
     fill = lambda record: [F.lit("0")] * (len(formats.CPD2_TABLES[record]) - 2)
     line = F.when(F.col("state") < 3, _text(F.lit("S11a"), *stamp, F.lit("F"), F.lit("0007"), "value")).when(F.col("state") < 5, _text(F.lit("S11k"), *stamp, "value", *fill("S11k"), "k")).otherwise(_text(F.lit("A11a"), *stamp, "value", *fill("A11a"), "k"))
-    rows = _read(_files(obs(spark, d).filter("state is not null"), line, "!note\n"), "cpd2")
+    part = F.concat_ws("-", F.date_format("dtm", "yyyyMMdd"), F.floor(F.col("event_id") / 20_000))  # a day of any length is files of at most so many lines
+    rows = _read(_files(obs(spark, d).filter("state is not null"), line, "!note\n", path=part), "cpd2")
     of = lambda record, x, y: formats.cpd2_table(rows, record).select(sec("dtm").alias("t"), F.lit(record).alias("record"), F.col(x).alias("x"), (F.col(y) if y else F.lit(None).cast("double")).alias("y"))
     return of("S11a", "BsB_S11", None).unionAll(of("S11k", "P1_S11", "PCTbsR_S11")).unionAll(of("A11a", "Q_A11", "If7_A11"))
 

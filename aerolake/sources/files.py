@@ -11,21 +11,23 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake.session import filesystem, materialize
 
-Parser = Callable[[str, bytes], pd.DataFrame]
-_SPARK = {"string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(), "int": T.IntegerType(), "tinyint": T.ByteType(), "timestamp": T.TimestampType()}
+Parser = Callable[[str, bytes], pd.DataFrame | Iterator[pd.DataFrame]]
+_SPARK = {"strings": T.ArrayType(T.StringType()), "doubles": T.ArrayType(T.DoubleType()), "string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(), "int": T.IntegerType(), "tinyint": T.ByteType(), "timestamp": T.TimestampType()}
 
 
 @dataclass(frozen=True)
 class Format:
     """A file format: the names it accepts, its columns and types, and its parser of one member's bytes.
 
-    The parser returns a frame of the columns as text or values; it raises ValueError for a file it doesn't accept.
+    The parser returns a frame of the columns as text or values, or an iterator of frames, blocks of successive rows of a
+    long file; it raises ValueError for a file it doesn't accept. Where most of many columns are empty in a row, the parser
+    may give the columns of ``held`` instead, from which ``named`` makes the format's own as expressions.
     """
 
     name: str
@@ -34,10 +36,17 @@ class Format:
     parse: Parser
     members: str = r".*"
     single_member: bool = False
+    held: dict[str, str] | None = None
+    named: Callable[[], list[Column]] | None = None
+
+    @property
+    def parsed(self) -> dict[str, str]:
+        return self.columns if self.held is None else self.held
 
     @property
     def schema(self) -> T.StructType:
-        own = [T.StructField(c, _SPARK[k]) for c, k in self.columns.items()]
+        """Of what is parsed."""
+        own = [T.StructField(c, _SPARK[k]) for c, k in self.parsed.items()]
         return T.StructType([T.StructField("path", T.StringType()), T.StructField("member", T.StringType()), T.StructField("ordinal", T.LongType()), T.StructField("error", T.StringType()), *own])
 
 
@@ -76,6 +85,8 @@ def members(path: str, raw: bytes, depth: int = 2) -> Iterator[tuple[str, bytes]
 
 def to_type(text: pd.Series, kind: str) -> pd.Series:
     """Tolerant conversion of a column: what doesn't fit is null; whole numbers may be written as decimals."""
+    if kind in ("strings", "doubles"):
+        return text
     if kind == "string":
         s = text.astype("string").str.strip()
         return s.where(s != "").astype(object).where(s.notna() & (s != ""), None)
@@ -88,10 +99,20 @@ def to_type(text: pd.Series, kind: str) -> pd.Series:
     return whole.astype("Float64").astype("Int64")
 
 
-def _typed(rows: pd.DataFrame, fmt: Format, path: str, member: str) -> pd.DataFrame:
-    out = {"path": path, "member": member, "ordinal": range(len(rows)), "error": None}
-    data = {c: to_type(rows[c].reset_index(drop=True), k) if c in rows else pd.Series([None] * len(rows)) for c, k in fmt.columns.items()}
-    return pd.DataFrame(out, index=range(len(rows))).assign(**data) if len(rows) else pd.DataFrame({f.name: [] for f in fmt.schema})
+def _typed(rows: pd.DataFrame, fmt: Format, path: str, member: str, first: int) -> pd.DataFrame:
+    out = {"path": path, "member": member, "ordinal": range(first, first + len(rows)), "error": None}
+    data = {c: to_type(rows[c].reset_index(drop=True), k) if c in rows else pd.Series([None] * len(rows)) for c, k in fmt.parsed.items()}
+    return pd.DataFrame(out, index=range(len(rows))).assign(**data)
+
+
+def _blocks(fmt: Format, path: str, member: str, content: bytes) -> list[pd.DataFrame]:
+    """The typed rows of a member, all of them before the first goes on, since a member that fails later has none."""
+    parsed, out, first = fmt.parse(member, content), [], 0
+    for rows in [parsed] if isinstance(parsed, pd.DataFrame) else parsed:
+        if len(rows):  # a frame without rows has no types
+            out.append(_typed(rows, fmt, path, member, first))
+            first += len(rows)
+    return out
 
 
 def read_format(spark: SparkSession, paths: str | list[str], fmt: Format, keep: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -125,14 +146,17 @@ def parse_files(files: DataFrame, fmt: Format, keep: bool = True) -> tuple[DataF
                         raise ValueError(f"{len(inner)} members instead of one")
                     for member, content in inner:
                         if content.strip():
-                            yield _typed(fmt.parse(member, content), fmt, path, member)
+                            yield from _blocks(fmt, path, member, content)
                 except Exception as e:  # noqa: BLE001  (any failure of a foreign file is its own error row)
-                    yield pd.DataFrame({"path": [path], "member": [member], "ordinal": [0], "error": [f"{type(e).__name__}: {e}"]} | {c: [None] for c in fmt.columns})
+                    yield pd.DataFrame({"path": [path], "member": [member], "ordinal": [0], "error": [f"{type(e).__name__}: {e}"]} | {c: [None] for c in fmt.parsed})
 
     out = files.mapInPandas(run, schema)
     if keep:
         out = materialize(out, fmt.name)
-    return out.filter("error is null").drop("error"), out.filter("error is not null").select("path", "member", "error")
+    good = out.filter("error is null").drop("error")
+    if fmt.named is not None:
+        good = good.select("path", "member", "ordinal", *fmt.named())
+    return good, out.filter("error is not null").select("path", "member", "error")
 
 
 def avo_files(files: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import io
 import tarfile
 import zipfile
+from dataclasses import replace
 
 import pytest
 
@@ -127,6 +128,25 @@ def test_cpd2_archive(spark, tmp_path):
     assert [(r["record"], r["F2_S11"], r["BsB_S11"]) for r in rows] == [("S11a", "0007", 1.5), ("S11s", "2000", None)]
 
 
+def test_long_files_are_taken_apart_in_blocks(spark, monkeypatch):
+    from aerolake.sources import files, formats
+
+    monkeypatch.setattr(formats, "BLOCK", 2)
+    text = "!note\n" + "".join(f"S11a,MKN,{i},2020-01-01T00:00:00Z,,0007,{i}.5, x ,nan,inf\n" if i % 2 else f"S11k,MKN,{i},2020-01-01T00:00:00Z,{i},\n" for i in range(5)) + "S11s,MKN,5,2020-01-01T00:00:00Z,\"7\n8\",9\nS11m,MKN,6,x\n"
+    sizes, own = [], files._typed
+    monkeypatch.setattr(files, "_typed", lambda rows, *a: sizes.append(len(rows)) or own(rows, *a))
+    blocks = files._blocks(FORMATS["cpd2"], "p", "m", text.encode())
+    assert sizes == [2, 2, 2, 1] and [i for b in blocks for i in b["ordinal"]] == list(range(7))
+    table = spark.createDataFrame([("whole", bytearray(text.encode())), ("note", bytearray(b"!note\n"))], "path string, content binary")
+    rows, errors = files.parse_files(table, replace(FORMATS["cpd2"], members=".*"))
+    got = [(r.epoch, r.F1_S11, r.F2_S11, r.BsB_S11, r.BsG_S11, r.BsR_S11, r.BbsB_S11, r.P1_S11, r.n_fields) for r in rows.orderBy("ordinal").collect()]
+    inf, nothing = float("inf"), (None,) * 7
+    assert got[:5] == [(i, None, "0007", i + 0.5, None, None, inf, None, 10) if i % 2 else (i, *nothing[:6], float(i), 6) for i in range(5)]
+    assert got[5:] == [(5, None, "7\n8", *nothing[:5], 6), (6, *nothing, 4)] and errors.count() == 0
+    assert rows.columns == ["path", "member", "ordinal", *formats.CPD2_FORMAT_COLUMNS]
+    assert [k for c, k in rows.dtypes if c in ("F1_S11", "BsB_S11", "P1_S11")] == ["string", "double", "double"]
+
+
 def test_tahmo(spark, tmp_path):
     h = "measurement,device_sn,timestamp_utc,value,mrid,error_flag,units\n"
     body = "Air Temperature,D1,1700000000,20.5,1,false,°C\nAir Temperature,D1,1700000000,21.5,2,false,°C\nWind Speed,D1,1700000000,,2,true,m/s\nAir Temperature,D1,1700000300,22,3,true,°C\n"
