@@ -203,7 +203,7 @@ def r10(spark, d):
     unit = F.when(F.col("event_type") == "click", TAHMO_UNITS[names["click"]]).otherwise(TAHMO_UNITS[names["error"]])
     cells = F.concat_ws(",", kind, F.lit("D1"), (F.floor(F.col("us") / 600_000_000) * 600).cast("string"), F.col("value").cast("string"), F.col("event_id").cast("string"), F.when(F.col("f") == 1, "true").otherwise("false"), unit)
     folder = scratch_path(spark, "raw-tahmo")
-    rows.select(cells.alias("x")).selectExpr("split(x, ',') a").selectExpr("a[0] measurement", "a[1] device_sn", "a[2] timestamp_utc", "a[3] value", "a[4] mrid", "a[5] error_flag", "a[6] units").write.option("header", True).csv(folder)
+    rows.select(cells.alias("x")).selectExpr("split(x, ',') a").selectExpr("a[0] measurement", "a[1] device_sn", "a[2] timestamp_utc", "a[3] value", "a[4] mrid", "a[5] error_flag", "a[6] units").write.option("header", True).option("maxRecordsPerFile", 100_000).csv(folder)
     readings = read_format(spark, folder, FORMATS["tahmo"])[0]
     out = tahmo.wide(readings, {"Air Temperature": "temp", "Wind Speed": "wind"})
     return out.select(sec("dtm").alias("t"), "mrid", "temp", F.col("f_wind").cast("int").alias("f_wind"))

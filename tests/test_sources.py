@@ -159,6 +159,36 @@ def test_tahmo(spark, tmp_path):
     assert conflicting_readings(clash).count() == 1
 
 
+def test_files_of_a_header_alone_have_no_rows(spark, tmp_path):
+    h = "measurement,device_sn,timestamp_utc,value,mrid,error_flag,units\n"
+    files = {"a.csv": h, "b.csv": h + "Air Temperature,D1,1700000000,20.5,1,false,°C\n", "c.csv": "x\n"}
+    rows, errors = read(spark, tmp_path / "tahmo", "tahmo", files)
+    assert [r["value"] for r in rows] == [20.5] and list(errors) == ["c.csv"] and "missing columns" in errors["c.csv"]
+    rows, errors = read(spark, tmp_path / "fidas", "fidas", {"fidas.csv": "dtm,60,id\n", "fidas2.csv": "dtm,60,id\n2024-01-01 00:00:00,1,x\n"})
+    assert [r["60"] for r in rows] == [1.0] and not errors
+
+
+def test_a_file_that_fails_in_a_later_block_has_no_rows(spark, tmp_path, monkeypatch):
+    from aerolake.sources import files, formats
+
+    h = "measurement,device_sn,timestamp_utc,value,mrid,error_flag,units\n"
+    line = "Air Temperature,D1,{},20.5,1,false,{}\n"
+    monkeypatch.setattr(formats, "BLOCK", 2)
+    good, bad = h + "".join(line.format(i, "°C") for i in range(5)), h + "".join(line.format(i, "K" if i == 4 else "°C") for i in range(5))
+    assert [len(b) for b in files._blocks(FORMATS["tahmo"], "p", "m", good.encode())] == [2, 2, 1]
+    with pytest.raises(ValueError, match="unit"):
+        files._blocks(FORMATS["tahmo"], "p", "m", bad.encode())
+
+
+def test_tahmo_query_without_readings(spark, tmp_path):
+    """The first task writes a file of a header alone, as it does wherever it gets no reading."""
+    from aerolake.plans import registry
+
+    events = spark.createDataFrame([(1, 5, "view", 2.5, "{}")], "event_id long, user_id long, event_type string, value double, props string")
+    events.selectExpr("*", "timestamp'2024-01-01 00:00:00' AS ts").write.parquet(str(tmp_path / "events.parquet"))
+    assert registry.QUERIES["R10_tahmo_files"](spark, str(tmp_path)).collect() == []
+
+
 def _write(folder, files):
     for n, c in files.items():
         (folder / n).write_bytes(c if isinstance(c, bytes) else c.encode())
