@@ -2,14 +2,14 @@
 
 Per group and column the distinct usable values are aligned progressively, token by token; weighted tokens vote in each
 column of the alignment; and the existing value closest to the consensus survives. With the weights by trust each value
-outweighs all less trusted ones together, so the most trusted and recent entry is the consensus; with the weights by votes
-the rows decide, token by token.
+outweighs all less trusted ones together, so the most trusted and recent entry wins every column of the alignment; with the
+weights by votes the rows decide, token by token. Either way all steps are taken.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -21,7 +21,8 @@ from aerolake.session import materialize
 #: Texts that stand for a missing entry (in lower case), besides numbers of three or more nines before the point and only nines behind it.
 PLACEHOLDERS = ("", "-", "--", "?", ".", "none", "null", "nan", "na", "n/a", "n.a.", "nil", "missing", "unknown")
 CELLS = 16_000_000  # steps of an alignment held at once
-BLOCK = 64  # distinct values aligned at once; larger groups are merged in a tree
+BLOCK = 1000  # distinct values aligned at once; larger groups are merged in a tree
+SHORT = 32  # up to so many tokens plain numbers are faster than arrays
 COLUMNS = ("value", "aux", "flag", "note")
 GAP = ""
 
@@ -48,8 +49,29 @@ def _places(seq: list[str]) -> dict[str, np.ndarray]:
     return {t: np.array(j) for t, j in at.items()}
 
 
-def _score_rows(profile: list[dict[str, int]], seq: list[str], total: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _score_short(profile: list[dict[str, int]], seq: list[str], total: int) -> Iterator[tuple[list[int], list[int]]]:
+    row = [-total * j for j in range(len(seq) + 1)]
+    for col in profile:
+        held = total - col.get(GAP, 0)
+        scores, steps, before = [row[0] - held], [1], row[0]
+        for t, above in zip(seq, row[1:], strict=True):
+            best, step = before + 2 * col.get(t, 0), 0
+            if above - held > best:
+                best, step = above - held, 1
+            if scores[-1] - total > best:
+                best, step = scores[-1] - total, 2
+            scores.append(best)
+            steps.append(step)
+            before = above
+        row = scores
+        yield scores, steps
+
+
+def _score_rows(profile: list[dict[str, int]], seq: list[str], total: int) -> Iterator[tuple[Sequence, Sequence]]:
     """Score and step of every prefix of ``seq`` after each column: 0 a match or mismatch, 1 a gap in seq, 2 a gap in the profile."""
+    if len(seq) <= SHORT:
+        yield from _score_short(profile, seq, total)
+        return
     m, places = len(seq), _places(seq)
     run = np.arange(m + 1) * float(total)
     row = -run
@@ -77,7 +99,7 @@ def align(profile: list[dict[str, int]], seq: list[str], weight: int, total: int
             pass
         for behind, _ in _score_rows(profile[:mid - 1 : -1], seq[::-1], total):
             pass
-        cut = int(np.argmax(ahead + behind[::-1]))
+        cut = max(range(m + 1), key=lambda j: ahead[j] + behind[m - j])
         return align(profile[:mid], seq[:cut], weight, total) + align(profile[mid:], seq[cut:], weight, total)
     back = [step for _, step in _score_rows(profile, seq, total)]
     out, i, j = [], n, m
@@ -97,6 +119,13 @@ def align(profile: list[dict[str, int]], seq: list[str], weight: int, total: int
 
 def distance(a: list[str], b: list[str]) -> int:
     """Edit distance of two token sequences."""
+    if len(b) <= SHORT:
+        near = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, near[0] = near[0], i
+            for j, y in enumerate(b, 1):
+                before, near[j] = near[j], min(near[j] + 1, near[j - 1] + 1, before + (x != y))
+        return near[-1]
     m, places = len(b), _places(b)
     run = np.arange(m + 1)
     row = run
@@ -110,14 +139,9 @@ def distance(a: list[str], b: list[str]) -> int:
 
 
 def representative(values: list[str], weights: list[int]) -> int:
-    """The place of the value closest to the weighted consensus; ties go to the first. Values in order of alignment.
-
-    A value that outweighs all others together wins every vote of its tokens and of its gaps, so it is the consensus, and
-    nothing needs to be aligned.
-    """
-    heaviest = max(range(len(values)), key=lambda k: weights[k])
-    if 2 * weights[heaviest] > sum(weights):
-        return heaviest
+    """The place of the value closest to the weighted consensus; ties go to the first. Values in order of alignment."""
+    if len(values) == 1:
+        return 0
     profile: list[dict[str, int]] = []
     split, total = [tokens(v) for v in values], 0
     for seq, w in zip(split, weights, strict=True):
@@ -160,7 +184,7 @@ def survivors(rows: DataFrame, origins: DataFrame, columns: tuple[str, ...] = CO
 
     Scale: rows that share their group with no other leave first, by counts of a hash of the group (aggregated on the map
     side). The rest is reduced to distinct values per group and column, with partial aggregation, so a
-    group of many copies is small at once. Groups of more than 64 distinct values are aligned in blocks, block winners are
+    group of many copies is small at once. Groups of more than 1000 distinct values are aligned in blocks, block winners are
     aligned again until one is left (exact for ``trust``; for ``votes`` a tree of consensus votes). ``origins`` is joined
     as any table, so AQE broadcasts it while it is small.
     """

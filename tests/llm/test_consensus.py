@@ -110,3 +110,29 @@ def test_long_values_and_values_without_tokens():
     assert time.perf_counter() - began < 60
     assert representative([" ", "pump off"], [2, 1]) == 0 and representative([" ", "pump off", "pump off"], [2, 1, 1]) == 0
     assert representative(["pump off", " ", "pump on", "pump on "], [2, 1, 2, 2]) == 2  # tokens, not values, vote
+
+
+def test_values_are_aligned_whatever_their_weights(monkeypatch):
+    seen, own = [], consensus.align
+    monkeypatch.setattr(consensus, "align", lambda profile, seq, *a: seen.append(seq) or own(profile, seq, *a))
+    assert representative(["34.47", "27.682", "34.5"], [4, 2, 1]) == 0 and seen == [tokens(v) for v in ("34.47", "27.682", "34.5")]
+    rng = random.Random(6)
+    for _ in range(200):  # a value that outweighs all others wins by the alignment itself
+        values = list({" ".join(rng.choice("abcd") for _ in range(rng.randrange(1, 7))) for _ in range(rng.randrange(2, 7))})
+        assert representative(values, [1 << (len(values) - 1 - k) for k in range(len(values))]) == 0
+    assert representative([f"{k} x" for k in range(1000)], [1 << (999 - k) for k in range(1000)]) == 0
+
+
+def test_short_sequences_are_aligned_as_long_ones(monkeypatch):
+    rng = random.Random(7)
+    for _ in range(100):
+        seqs = [[rng.choice("abc") for _ in range(rng.randrange(0, 9))] for _ in range(4)]
+        weights, out = [rng.randrange(1, 5) for _ in seqs], []
+        for short in (0, 32):
+            monkeypatch.setattr(consensus, "SHORT", short)
+            profile, total = [], 0
+            for seq, w in zip(seqs, weights, strict=True):
+                profile = align(profile, seq, w, total)
+                total += w
+            out.append((profile, distance(seqs[0], seqs[1])))
+        assert out[0] == out[1]
